@@ -1,0 +1,68 @@
+"""Joins whose key may be very unevenly spread, and broadcasts of checked size."""
+
+from __future__ import annotations
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+SALT = "_salt"
+
+
+def frequent_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
+    """Every value of ``key`` that may hold more than ``share`` of the rows.
+
+    Starts a job: one scan of that column, no shuffle by key. The sketch behind
+    ``freqItems`` misses no frequent value and returns at most ``1 / share``
+    values, so the result is small whatever the data.
+    """
+    found = df.where(F.col(key).isNotNull()).select(F.col(key)).freqItems([key], share).first()
+    return list(found[0] or []) if found else []
+
+
+def skew_join(
+    rows: DataFrame,
+    lookup: DataFrame,
+    key: str,
+    how: str = "inner",
+    salts: int = 64,
+    share: float = 0.01,
+) -> DataFrame:
+    """``rows`` joined to ``lookup``, unique per ``key``, with hot keys spread out.
+
+    A hot key's rows are cut into ``salts`` parts and its one lookup row is
+    repeated for each part; all other keys join as they are. Rows without a key
+    match nothing and are spread the same way. The part of a row follows from
+    its task and its content, never from a random number or a row's place, so a
+    task that runs again sends every row where it went before.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"skew_join keeps left rows or matches, not {how!r}")
+    hot = frequent_keys(rows, key, share)
+    spread = F.pmod(F.spark_partition_id() + F.hash(*rows.columns), F.lit(salts))
+    apart = F.col(key).isNull() if not hot else F.col(key).isNull() | F.col(key).isin(hot)
+    if not hot and how == "inner":
+        return rows.join(lookup, key, how)
+    left = rows.withColumn(SALT, F.when(apart, spread).otherwise(0))
+    if hot:
+        parts = F.when(F.col(key).isin(hot), F.sequence(F.lit(0), F.lit(salts - 1)))
+        right = lookup.withColumn(SALT, F.explode(F.coalesce(parts, F.array(F.lit(0)))))
+    else:
+        right = lookup.withColumn(SALT, F.lit(0))
+    return left.join(right, [key, SALT], how).drop(SALT)
+
+
+def estimated_bytes(df: DataFrame) -> int:
+    """Catalyst's upper estimate of a result's size; starts no job."""
+    plan = df._jdf.queryExecution().optimizedPlan()
+    return int(str(plan.stats().sizeInBytes()))
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """Compute a small aggregate once and let the optimizer see its true size.
+
+    Starts a job. The cached result carries its measured size, so Catalyst
+    broadcasts it below ``autoBroadcastJoinThreshold`` and shuffles beyond it.
+    """
+    kept = df.persist()
+    kept.count()
+    return kept
