@@ -593,7 +593,9 @@ def parse_event_timestamps(spark, sf):
 
 # --- streams --------------------------------------------------------------------------
 
-FILES = 4
+def _files(spark: SparkSession) -> int:
+    """Files per arrival batch: one for every slot."""
+    return spark.sparkContext.defaultParallelism
 
 
 def _stage(spark, sf, path, arrivals=(0, 1, 2)) -> None:
@@ -601,12 +603,12 @@ def _stage(spark, sf, path, arrivals=(0, 1, 2)) -> None:
     messages = _messages(spark, sf)
     arrival = F.expr("(shuffled_batch_id - 1) div 3")
     for number in arrivals:
-        append_envelope_batch(messages.where(arrival == number), path, FILES)
+        append_envelope_batch(messages.where(arrival == number), path, _files(spark))
 
 
 def _ingest(spark, path, layers, checkpoint, versioned=False, query="replay"):
     start_ingest(
-        file_stream(spark, path, FILES), layers, checkpoint, query, versioned, every=None
+        file_stream(spark, path, _files(spark)), layers, checkpoint, query, versioned, every=None
     ).awaitTermination()
 
 
@@ -686,7 +688,7 @@ def stream_envelope_replay(spark, sf):
         }),
         key="user_id", rest=["partition", "offset", "timestamp"])
     path = scratch_dir(spark, "wire")
-    append_envelope_batch(messages, path, FILES)
+    append_envelope_batch(messages, path, _files(spark))
     decoded = _to_files(decode_envelope(file_stream(spark, path)), spark, "decoded")
     payload = F.from_json("json_str", "event_id BIGINT, event_type STRING, value DOUBLE")
     return decoded.select(
@@ -699,7 +701,7 @@ def stream_envelope_replay(spark, sf):
 def console_valid_view(spark, sf):
     path = scratch_dir(spark, "wire")
     _stage(spark, sf, path)
-    valid, _ = console_views(file_stream(spark, path, FILES))
+    valid, _ = console_views(file_stream(spark, path, _files(spark)))
     return _to_files(valid, spark, "valid")
 
 
@@ -707,7 +709,7 @@ def console_valid_view(spark, sf):
 def console_quarantine_view(spark, sf):
     path = scratch_dir(spark, "wire")
     _stage(spark, sf, path)
-    _, rejected = console_views(file_stream(spark, path, FILES))
+    _, rejected = console_views(file_stream(spark, path, _files(spark)))
     shown = _to_files(rejected, spark, "rejected")
     return shown.select(
         "order_id", F.get_json_object("json_str", "$.product_id").alias("json_product_id"),
@@ -720,7 +722,7 @@ def stream_watermark_dedup(spark, sf):
     no counterpart in SQL."""
     path = scratch_dir(spark, "wire")
     _stage(spark, sf, path)
-    parsed = parse_events(file_stream(spark, path, FILES)).where("order_id IS NOT NULL")
+    parsed = parse_events(file_stream(spark, path, _files(spark))).where("order_id IS NOT NULL")
     unique = dedup_within_watermark(parsed, ["order_id"])
     return _to_files(unique.select("order_id", "order_status", "event_ts"), spark, "unique")
 

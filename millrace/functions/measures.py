@@ -1,30 +1,46 @@
 """Aggregates whose value does not depend on the order of the rows.
 
 Money arrives as double. A sum of doubles changes with task order and with
-every retried task, so sums run on decimals and leave as double. A value that
-is no number (NaN, infinity) is left out instead of failing the job.
+every retried task. Here an amount is cut into whole units and millionths, two
+integers whose sums are exact and stay cheap inside generated code; the sums
+are put together as a decimal and leave as double. A value that is no number
+(NaN, infinity) is left out instead of failing the job.
 """
 
 from __future__ import annotations
 
+from decimal import Decimal
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# For amounts that are few already, such as gold rows.
 MONEY = "decimal(24,6)"
 
+_LARGEST = 9.0e18
+_MILLIONTH = Decimal("0.000001")
+
+
+def amount(column: Column | str) -> Column:
+    """The value as double, NULL where it is no finite number."""
+    value = (F.col(column) if isinstance(column, str) else column).cast("double")
+    return F.when(F.abs(value) < _LARGEST, value)
+
 
-def money(column: Column | str) -> Column:
-    column = F.col(column) if isinstance(column, str) else column
-    return column.try_cast(MONEY)
+def _exact_sum(column: Column | str) -> Column:
+    value = amount(column)
+    units = F.floor(value)
+    millionths = F.rint((value - units) * 1_000_000.0).cast("bigint")
+    whole = F.sum(units).cast("decimal(20,0)")
+    return whole + F.sum(millionths).cast("decimal(20,0)") * F.lit(_MILLIONTH)
 
 
 def total(column: Column | str) -> Column:
-    return F.sum(money(column)).cast("double")
+    return _exact_sum(column).cast("double")
 
 
 def mean(column: Column | str) -> Column:
-    amount = money(column)
-    return F.sum(amount).cast("double") / F.nullif(F.count(amount), F.lit(0))
+    return total(column) / F.nullif(F.count(amount(column)), F.lit(0))
 
 
 def mean_hours(seconds: Column) -> Column:

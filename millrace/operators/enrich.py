@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from millrace.functions.columns import (
     blank_to_null, normalize_status, shop_time_to_event_time,
 )
-from millrace.functions.measures import money
+from millrace.functions.measures import total
 from millrace.operators.latest import latest_per_key
 from millrace.operators.skew import skew_join
 
@@ -16,7 +16,7 @@ from millrace.operators.skew import skew_join
 def payments_per_order(payments: DataFrame, sequence: str = "payment_sequential") -> DataFrame:
     """Paid sum and the type of the first payment, per order."""
     return payments.groupBy("order_id").agg(
-        F.sum(money("payment_value")).cast("double").alias("payment_value"),
+        total("payment_value").alias("payment_value"),
         F.min_by("payment_type", sequence).alias("payment_type"),
     )
 

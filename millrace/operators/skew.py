@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 SALT = "_salt"
+BROADCAST_BYTES = 16 * 1024 * 1024
 
 
 def frequent_keys(df: DataFrame, key: str, share: float = 0.01) -> list:
@@ -29,7 +30,8 @@ def skew_join(
 ) -> DataFrame:
     """``rows`` joined to ``lookup``, unique per ``key``, with hot keys spread out.
 
-    A hot key's rows are cut into ``salts`` parts and its one lookup row is
+    A lookup whose estimated size is below ``BROADCAST_BYTES`` goes to every task.
+    Otherwise a hot key's rows are cut into ``salts`` parts and its one lookup row is
     repeated for each part; all other keys join as they are. Rows without a key
     match nothing and are spread the same way. The part of a row follows from
     its task and its content, never from a random number or a row's place, so a
@@ -37,6 +39,9 @@ def skew_join(
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join keeps left rows or matches, not {how!r}")
+    if estimated_bytes(lookup) <= BROADCAST_BYTES:
+        # No shuffle by key, so no task gets more than its share of the scan.
+        return rows.join(F.broadcast(lookup), key, how)
     hot = frequent_keys(rows, key, share)
     spread = F.pmod(F.spark_partition_id() + F.hash(*rows.columns), F.lit(salts))
     apart = F.col(key).isNull() if not hot else F.col(key).isNull() | F.col(key).isin(hot)

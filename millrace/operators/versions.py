@@ -15,9 +15,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.latest import latest_per_key, newest_first
-from millrace.operators.skew import estimated_bytes, settled
-
-SMALL_DELTA_BYTES = 16 * 1024 * 1024
+from millrace.operators.skew import BROADCAST_BYTES, estimated_bytes, settled
 
 
 @dataclass(frozen=True)
@@ -126,7 +124,7 @@ def commit_counts(rows: DataFrame, v: Versioning) -> DataFrame:
 
 
 def merge_latest(
-    base: DataFrame, delta: DataFrame, v: Versioning, small_bytes: int = SMALL_DELTA_BYTES
+    base: DataFrame, delta: DataFrame, v: Versioning, small_bytes: int = BROADCAST_BYTES
 ) -> DataFrame:
     """Upsert: ``base`` holds one row per key, ``delta`` any number of versions.
 
