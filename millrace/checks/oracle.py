@@ -551,7 +551,7 @@ ORACLE["stream_upsert"] = f"""WITH {_WIRE_SILVER}, newest AS (
   SELECT * FROM silver_per_batch QUALIFY row_number() OVER (
     PARTITION BY order_id ORDER BY event_ts DESC NULLS LAST, batch_id DESC, {_WIRE_TIES}) = 1)
 SELECT order_id, product_id, seller_id, total_price, order_status,
-  {_ts('event_ts')} AS event_ts, batch_id AS _commit_time FROM newest"""
+  {_ts('event_ts')} AS event_ts, (batch_id + 1) * 1000 AS _commit_time FROM newest"""
 
 ORACLE["stream_restart_no_duplicates"] = f"""WITH {_WIRE}
 SELECT batch_id, count(*) AS records, count(DISTINCT order_id) AS orders,

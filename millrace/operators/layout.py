@@ -17,14 +17,17 @@ def clustered(
     partition: str,
     event_time: str = "event_ts",
     ties: Sequence[str] = (),
+    size_bytes: int | None = None,
     target_bytes: int = TARGET_FILE_BYTES,
 ) -> DataFrame:
     """Rows cut into ranges of about one file each, sorted by time inside.
 
     Ranges run over partition, time and ``ties``: a partition that holds much
-    of the table is cut by time, and many rows with one time by ``ties``.
+    of the table is cut by time, and many rows with one time by ``ties``. For
+    rows that do not come straight from files, pass their size.
     """
-    files = max(1, math.ceil(estimated_bytes(df) / target_bytes))
+    size = estimated_bytes(df) if size_bytes is None else size_bytes
+    files = max(1, math.ceil(size / target_bytes))
     return (
         df.repartitionByRange(files, partition, event_time, *ties)
         .sortWithinPartitions(partition, event_time, *ties)

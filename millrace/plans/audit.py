@@ -130,11 +130,6 @@ def partition_row_counts(current: DataFrame, partition: str, top: int | None = N
     return ordered if top is None else ordered.limit(top)
 
 
-def data_file_count(layer: DataFrame) -> DataFrame:
-    """Files a layer read from storage consists of."""
-    return layer.select(F.countDistinct("_metadata.file_path").alias("data_files"))
-
-
 def latest_rows(rows: DataFrame, order: Sequence, columns: Sequence[str], n: int = 10) -> DataFrame:
     """A top-n sample; Spark keeps n rows per task, not a sorted table."""
     return rows.orderBy(*order).limit(n).select(*columns)
