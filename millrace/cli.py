@@ -122,6 +122,9 @@ def evolve(spark: SparkSession, args) -> None:
         print("the added columns are there already")
         return
     added = evolution.with_added_columns(evolution.sample_to_evolve(before, args.rows))
+    if added.isEmpty():
+        print("no delivered order to evolve")
+        return
     commit = changelog.kept(spark, root, v).last() + 1
     changelog.write_commit(added, root, v, commit, STATE)
     after = changelog.current(spark, root, v)
