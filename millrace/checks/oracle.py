@@ -243,6 +243,7 @@ ORACLE["upsert_latest_wins"] = f"""WITH {_orders_log('batch_id')}
 SELECT {_ROW} FROM {_latest_orders()}"""
 ORACLE["upsert_late_event_ignored"] = f"""WITH {_orders_log()}
 SELECT {_ROW} FROM {_latest_orders()}"""
+ORACLE["upsert_bucketed_base"] = ORACLE["upsert_late_event_ignored"]
 ORACLE["stored_table_with_base"] = ORACLE["upsert_late_event_ignored"]
 
 ORACLE["commit_timeline"] = f"""WITH {_orders_log()}

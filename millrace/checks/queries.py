@@ -263,6 +263,19 @@ def upsert_late_event_ignored(spark, sf):
     return _upserted(spark, sf, "shuffled_batch_id")
 
 
+@register
+def upsert_bucketed_base(spark, sf):
+    log, v = given.orders_log(spark, sf), given.ORDERS_LOG
+    root, buckets = scratch_dir(spark, "buckets"), catalog.shuffle_width(spark)
+    database = f"millrace_{uuid.uuid4().hex[:8]}"
+    catalog.ensure_database(spark, database, f"{root}/db")
+    early = versions.snapshot(log.where(F.col(v.commit) <= 4), v)
+    catalog.register_bucketed(early, "base", "order_id", buckets, database, f"{root}/base")
+    delta = log.where(F.col(v.commit) > 4)
+    return versions.merge_into_buckets(
+        spark.table(f"{database}.base"), delta, v, buckets).select(ROW)
+
+
 def _stored_log(spark, sf, commits=range(1, 8)) -> tuple[str, DataFrame]:
     root, log = scratch_dir(spark, "versions"), given.orders_log(spark, sf)
     for commit in commits:
@@ -477,7 +490,9 @@ def _catalog(spark, sf) -> str:
     database = f"millrace_{uuid.uuid4().hex[:8]}"
     root = scratch_dir(spark, "catalog")
     catalog.ensure_database(spark, database, root)
-    catalog.register(silver(spark, sf), "orders_silver", database, f"{root}/orders_silver")
+    catalog.register_bucketed(
+        silver(spark, sf), "orders_silver", "order_id", catalog.shuffle_width(spark),
+        database, f"{root}/orders_silver")
     stored = spark.table(f"{database}.orders_silver")
     for name, table in gold.build_all(stored).items():
         catalog.register(table, name, database, f"{root}/{name}")

@@ -56,10 +56,13 @@ def _silver(spark: SparkSession, root: str) -> DataFrame:
 def build_gold(spark: SparkSession, args) -> None:
     modes = tuple(gold.GOLD_TABLES) if args.mode == "all" else (args.mode,)
     catalog.ensure_database(spark, args.database)
-    # Silver is written once under its catalog name; every gold table reads that.
+    # Silver is written once under its catalog name; every gold table reads that,
+    # and counts distinct orders inside the buckets.
     places = Layers(args.root)
-    catalog.register(
-        _silver(spark, args.root), "orders_silver", args.database, f"{places.gold}/orders_silver")
+    catalog.register_bucketed(
+        _silver(spark, args.root), "orders_silver", "order_id",
+        args.buckets or catalog.shuffle_width(spark),
+        args.database, f"{places.gold}/orders_silver")
     silver = spark.table(f"{args.database}.orders_silver")
     for name, table in gold.build_all(silver, modes).items():
         catalog.register(
@@ -163,7 +166,7 @@ def parser() -> argparse.ArgumentParser:
         max_offsets={"type": int, "default": 10_000})
     job("console", console, servers=servers, topic=topic)
     job("replay", replay, data={"required": True}, servers=servers, topic=topic)
-    job("gold", build_gold, root=root, database=database,
+    job("gold", build_gold, root=root, database=database, buckets={"type": int},
         mode={"default": "all", "choices": ["all", *gold.GOLD_TABLES]})
     job("analytics", run_analytics, database=database,
         report={"choices": list(analytics.SUITE)})

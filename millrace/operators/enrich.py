@@ -63,7 +63,7 @@ def order_item_events(
         ),
         "product_id", "left",
     )
-    matched = skew_join(lines, order_side, "order_id")
+    matched = skew_join(lines, order_side, "order_id", counted=items)
 
     unknown, nothing = F.lit("unknown"), F.lit(0.0)
     price, freight = F.coalesce("price", nothing), F.coalesce("freight_value", nothing)

@@ -27,6 +27,7 @@ def skew_join(
     how: str = "inner",
     salts: int = 64,
     share: float = 0.01,
+    counted: DataFrame | None = None,
 ) -> DataFrame:
     """``rows`` joined to ``lookup``, unique per ``key``, with hot keys spread out.
 
@@ -36,13 +37,15 @@ def skew_join(
     match nothing and are spread the same way. The part of a row follows from
     its task and its content, never from a random number or a row's place, so a
     task that runs again sends every row where it went before.
+
+    ``counted`` is a cheaper source of the same keys to look for hot ones in.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"skew_join keeps left rows or matches, not {how!r}")
     if estimated_bytes(lookup) <= BROADCAST_BYTES:
         # No shuffle by key, so no task gets more than its share of the scan.
         return rows.join(F.broadcast(lookup), key, how)
-    hot = frequent_keys(rows, key, share)
+    hot = frequent_keys(rows if counted is None else counted, key, share)
     spread = F.pmod(F.spark_partition_id() + F.hash(*rows.columns), F.lit(salts))
     apart = F.col(key).isNull() if not hot else F.col(key).isNull() | F.col(key).isin(hot)
     if not hot and how == "inner":

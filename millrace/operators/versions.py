@@ -153,6 +153,19 @@ def merge_latest(
     return kept.unionByName(accepted, allowMissingColumns=True)
 
 
+def merge_into_buckets(
+    base: DataFrame, delta: DataFrame, v: Versioning, buckets: int
+) -> DataFrame:
+    """Upsert into a base read from a table bucketed by the key.
+
+    Only the delta moves, one row per key, to where its bucket is read; the base
+    is neither shuffled nor broadcast to. The union keeps the common
+    partitioning, so ranking the at most two rows of a key needs no exchange.
+    """
+    newest = snapshot(delta, v).repartition(buckets, *v.keys)
+    return snapshot(base.unionByName(newest, allowMissingColumns=True), v)
+
+
 def keep_last_commits(log: DataFrame, v: Versioning, commits: int) -> DataFrame:
     """Shrink the log to what the last ``commits`` commits can be asked for.
 

@@ -24,5 +24,27 @@ def register(
     writer.saveAsTable(f"{database}.{table}")
 
 
+def register_bucketed(
+    df: DataFrame, table: str, key: str, buckets: int,
+    database: str = DEFAULT_DATABASE, path: str | None = None,
+) -> None:
+    """Like ``register``, with the rows cut by a hash of ``key``. Grouping by the
+    key or by more than the key, joining on it and merging into the table then
+    read each bucket where it lies, without a shuffle. Repartitioning first
+    makes one file per bucket instead of one per task and bucket."""
+    writer = (
+        df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+        .bucketBy(buckets, key).sortBy(key)
+    )
+    if path:
+        writer = writer.option("path", path)
+    writer.saveAsTable(f"{database}.{table}")
+
+
+def shuffle_width(spark: SparkSession) -> int:
+    """The number of buckets that fits the session's other shuffles."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def tables(spark: SparkSession, database: str = DEFAULT_DATABASE) -> DataFrame:
     return spark.sql(f"SHOW TABLES IN {database}")

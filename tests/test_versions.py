@@ -140,3 +140,21 @@ def test_version_history(spark, log):
     assert all(r.versions == counts[r.k] and r.current_x == winner[r.k][3] for r in got)
     top = audit.most_updated_key(df, "k").first()
     assert top.versions == max(counts.values())
+
+
+def test_bucketed_base_is_not_shuffled(spark, rows, tmp_path, log):
+    from millrace.sources import catalog
+    df = spark.createDataFrame(log, DDL)
+    df.write.parquet(str(tmp_path / "log"))
+    stored = spark.read.parquet(str(tmp_path / "log"))
+    catalog.ensure_database(spark, "buckets_test", str(tmp_path / "db"))
+    name = f"base_{abs(hash(str(tmp_path)))}"
+    catalog.register_bucketed(
+        versions.as_of(stored, V, 4), name, "k", 4, "buckets_test", str(tmp_path / "base"))
+    base = spark.table(f"buckets_test.{name}")
+    merged = versions.merge_into_buckets(base, stored.where("c > 4"), V, 4)
+    assert rows(merged.select("k", "at", "c", "x")) == newest(log)
+    text = merged._jdf.queryExecution().executedPlan().toString()
+    scan = next(i for i, line in enumerate(text.splitlines()) if "Bucketed: true" in line)
+    above = text.splitlines()[:scan]
+    assert not any("Exchange" in line for line in above)
