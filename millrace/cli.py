@@ -27,7 +27,9 @@ from millrace.streaming.medallion import (
 def ingest(spark: SparkSession, args) -> None:
     raw = kafka_stream(spark, args.servers, args.topic, max_offsets=args.max_offsets)
     name = "versioned-pipeline" if args.versioned else "streaming-pipeline"
-    start_ingest(raw, Layers(args.root), args.checkpoint, name, args.versioned)
+    start_ingest(
+        raw, Layers(args.root), args.checkpoint, args.query or name, args.versioned,
+        every=args.every, first_commit=args.first_commit)
     spark.streams.awaitAnyTermination()
 
 
@@ -162,7 +164,8 @@ def parser() -> argparse.ArgumentParser:
     servers, topic = {"required": True}, {"default": DEFAULT_TOPIC}
     root, database = {"required": True}, {"default": DEFAULT_DATABASE}
     job("ingest", ingest, servers=servers, topic=topic, root=root,
-        checkpoint={"required": True}, versioned={"action": "store_true"},
+        checkpoint={"required": True}, versioned={"action": "store_true"}, query={},
+        every={"default": "30 seconds"}, first_commit={"type": int, "default": 0},
         max_offsets={"type": int, "default": 10_000})
     job("console", console, servers=servers, topic=topic)
     job("replay", replay, data={"required": True}, servers=servers, topic=topic)

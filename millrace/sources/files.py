@@ -1,0 +1,37 @@
+"""Folder names on whatever file system a path belongs to."""
+
+from __future__ import annotations
+
+from pyspark.sql import SparkSession
+
+
+def filesystem(spark: SparkSession, path: str):
+    """``(path object, its file system)`` of the session's Hadoop configuration."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return place, place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    place, files = filesystem(spark, path)
+    return files.exists(place)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    place, files = filesystem(spark, path)
+    files.delete(place, True)
+
+
+def finished_folders(spark: SparkSession, path: str, column: str) -> dict[int, str]:
+    """Number to path of the folders ``<column>=<number>`` directly below
+    ``path`` that a job has finished and that hold rows."""
+    place, files = filesystem(spark, path)
+    if not files.exists(place):
+        return {}
+    prefix, found = f"{column}=", {}
+    for status in files.listStatus(place):
+        name = status.getPath().getName()
+        if name.startswith(prefix):
+            inside = {entry.getPath().getName() for entry in files.listStatus(status.getPath())}
+            if "_SUCCESS" in inside and len(inside) > 1:
+                found[int(name[len(prefix):])] = f"{path}/{name}"
+    return dict(sorted(found.items()))

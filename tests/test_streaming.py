@@ -163,3 +163,17 @@ def test_dedup_within_watermark(spark, tmp_path):
     query.awaitTermination()
     got = [r.order_id for r in spark.table("unique_orders").collect()]
     assert sorted(got) == ["a", "b", "c", "d", "e", "f"]
+
+
+def test_second_checkpoint_cannot_replace_batches(spark, tmp_path):
+    path, layers = str(tmp_path / "wire"), Layers(str(tmp_path / "lake"))
+    send(spark, path, 0)
+    run(spark, path, layers, str(tmp_path / "cp1"), True)
+    for query, first in (("q", 0), ("other", 0)):
+        with pytest.raises(ValueError):
+            start_ingest(file_stream(spark, path, 1), layers, str(tmp_path / "cp2"), query,
+                         True, every=None, first_commit=first)
+    start_ingest(file_stream(spark, path, 1), layers, str(tmp_path / "cp2"), "other",
+                 True, every=None, first_commit=1000).awaitTermination()
+    assert list(changelog.kept(spark, layers.silver_versions, SILVER_VERSIONING).commits) == [
+        1000, 2000]
