@@ -1,6 +1,6 @@
 """Command line: one sub-command per job.
 
-    spark-submit --py-files millrace.zip -m millrace.cli <job> [options]
+    spark-submit --py-files millrace.zip millrace_job.py <job> [options]
 """
 
 from __future__ import annotations
@@ -74,8 +74,13 @@ def build_gold(spark: SparkSession, args) -> None:
 
 def run_analytics(spark: SparkSession, args) -> None:
     for name in [args.report] if args.report else analytics.SUITE:
-        print(f"\n{analytics.SUITE[name].title}")
-        analytics.run_report(spark, name, args.database).show(50, truncate=False)
+        report = analytics.SUITE[name]
+        print(f"\n{report.title}")
+        if args.root:
+            table = read_layer(spark, f"{Layers(args.root).gold}/{report.table}")
+        else:
+            table = spark.table(f"{args.database}.{report.table}")
+        report.build(table).show(50, truncate=False)
 
 
 def show_dashboard(spark: SparkSession, args) -> None:
@@ -171,7 +176,7 @@ def parser() -> argparse.ArgumentParser:
     job("replay", replay, data={"required": True}, servers=servers, topic=topic)
     job("gold", build_gold, root=root, database=database, buckets={"type": int},
         mode={"default": "all", "choices": ["all", *gold.GOLD_TABLES]})
-    job("analytics", run_analytics, database=database,
+    job("analytics", run_analytics, database=database, root={},
         report={"choices": list(analytics.SUITE)})
     job("dashboard", show_dashboard, root=root)
     job("versions", inspect_versions, root=root,

@@ -103,6 +103,7 @@ def test_layers_after_restart_and_replay(spark, lake, capsys):
     cli.main(["dashboard", "--root", root], spark)
     cli.main(["gold", "--root", root, "--database", f"lake_{versioned}"], spark)
     cli.main(["analytics", "--database", f"lake_{versioned}"], spark)
+    cli.main(["analytics", "--root", root, "--report", "top_categories"], spark)
     assert "pct_of_total" in capsys.readouterr().out
     if versioned:
         cli.main(["versions", "--root", root], spark)
