@@ -46,7 +46,7 @@ def time_ingest(spark, folder: str, versioned: bool) -> float:
 def main() -> None:
     folder = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "3"))
+    runs = int(os.environ.get("BENCH_RUNS", "2"))
     chosen = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or HEADLINE
     spark = build_session("bench", f"local[{cpus}]", **{
         "spark.sql.shuffle.partitions": cpus, "spark.ui.enabled": "false",

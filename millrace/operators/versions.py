@@ -8,7 +8,6 @@ row with an older event time therefore never replaces a newer one.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +19,10 @@ from millrace.operators.skew import BROADCAST_BYTES, estimated_bytes, settled
 
 @dataclass(frozen=True)
 class Versioning:
-    """Which columns identify a row, order its versions and name its commit."""
+    """Which columns identify a row, order its versions and name its commit.
+
+    Keys are never NULL: rows without one do not pass the quality rules.
+    """
 
     keys: tuple[str, ...]
     event_time: str

@@ -10,8 +10,8 @@ from millrace.schema import METRICS_DDL, SHOP_TABLES
 def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A headed CSV file under a given schema; blanks are NULL.
 
-    Columns are matched by the header's names and no pass is spent on guessing
-    types. Quoted fields may hold line breaks, as in product texts.
+    The header is checked against the schema and no pass is spent on guessing
+    types. One line is one row, so that a large file is read in many splits.
     """
     return (
         spark.read.schema(ddl)
