@@ -8,6 +8,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 
 from millrace.operators.skew import estimated_bytes
+from millrace.schema import COMPRESSION
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 
@@ -36,4 +37,5 @@ def clustered(
 
 def rewrite(df: DataFrame, path: str, partition: str, **layout) -> None:
     """Write ``df`` clustered. ``path`` must not be a folder ``df`` reads from."""
-    clustered(df, partition, **layout).write.mode("overwrite").partitionBy(partition).parquet(path)
+    writer = clustered(df, partition, **layout).write.mode("overwrite").partitionBy(partition)
+    writer.parquet(path, compression=COMPRESSION)

@@ -108,5 +108,9 @@ SHOP_TABLES = {
         product_height_cm STRING, product_width_cm STRING""",
 }
 
+# Layers are written once and kept: a third smaller than with the default codec
+# at about the same cost.
+COMPRESSION = "zstd"
+
 DEFAULT_DATABASE = "lakehouse_db"
 DEFAULT_TOPIC = "orders"

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from millrace.schema import DEFAULT_DATABASE
+from millrace.schema import COMPRESSION, DEFAULT_DATABASE
 
 
 def ensure_database(
@@ -18,7 +18,7 @@ def register(
     df: DataFrame, table: str, database: str = DEFAULT_DATABASE, path: str | None = None
 ) -> None:
     """Write a table and make it known; a table of that name is replaced."""
-    writer = df.write.mode("overwrite").format("parquet")
+    writer = df.write.mode("overwrite").format("parquet").option("compression", COMPRESSION)
     if path:
         writer = writer.option("path", path)
     writer.saveAsTable(f"{database}.{table}")
@@ -34,7 +34,7 @@ def register_bucketed(
     makes one file per bucket instead of one per task and bucket."""
     writer = (
         df.repartition(buckets, key).write.mode("overwrite").format("parquet")
-        .bucketBy(buckets, key).sortBy(key)
+        .option("compression", COMPRESSION).bucketBy(buckets, key).sortBy(key)
     )
     if path:
         writer = writer.option("path", path)
