@@ -577,5 +577,5 @@ ORACLE["late_event_split"] = f"""WITH arrived AS (
   SELECT arrival_day, max(newest) OVER (ORDER BY arrival_day
     ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 1 HOUR AS watermark FROM days)
 SELECT event_id, arrival_day, {_ts('ts')} AS ts, {_ts('watermark')} AS watermark,
-  CAST(coalesce(ts < watermark, false) AS VARCHAR) AS is_late
+  CAST(coalesce(ts <= watermark, false) AS VARCHAR) AS is_late
 FROM arrived JOIN marks USING (arrival_day)"""

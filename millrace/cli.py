@@ -17,12 +17,16 @@ from millrace.schema import DEFAULT_DATABASE, DEFAULT_TOPIC
 from millrace.session import build_session
 from millrace.sources import catalog, changelog
 from millrace.sources.envelope import kafka_stream, publish, to_messages
+from millrace.sources.files import exists
 from millrace.sources.tables import read_layer, read_shop
 from millrace.streaming.console import start_console
 from millrace.streaming.medallion import (
     SILVER_VERSIONING, STATE, Layers, start_ingest, stored_metrics,
 )
 
+SILVER_TABLE = "orders_silver"
+MAINTAINED = [SILVER_TABLE, *(table for table, _, _ in gold.GOLD_TABLES.values())]
+
 
 def ingest(spark: SparkSession, args) -> None:
     raw = kafka_stream(spark, args.servers, args.topic, max_offsets=args.max_offsets)
@@ -62,10 +66,10 @@ def build_gold(spark: SparkSession, args) -> None:
     # and counts distinct orders inside the buckets.
     places = Layers(args.root)
     catalog.register_bucketed(
-        _silver(spark, args.root), "orders_silver", "order_id",
+        _silver(spark, args.root), SILVER_TABLE, "order_id",
         args.buckets or catalog.shuffle_width(spark),
-        args.database, f"{places.gold}/orders_silver")
-    silver = spark.table(f"{args.database}.orders_silver")
+        args.database, f"{places.gold}/{SILVER_TABLE}")
+    silver = spark.table(f"{args.database}.{SILVER_TABLE}")
     for name, table in gold.build_all(silver, modes).items():
         catalog.register(
             gold.with_update_time(table), name, args.database, f"{places.gold}/{name}")
@@ -143,6 +147,16 @@ def evolve(spark: SparkSession, args) -> None:
 
 
 def maintain(spark: SparkSession, args) -> None:
+    wanted = MAINTAINED if args.table == "all" else [args.table]
+    for name in wanted:
+        print(f"\n{name}")
+        if name == SILVER_TABLE:
+            _maintain_silver(spark, args)
+        elif args.operation in ("all", "stats"):
+            _gold_stats(spark, f"{Layers(args.root).gold}/{name}")
+
+
+def _maintain_silver(spark: SparkSession, args) -> None:
     root, v = Layers(args.root).silver_versions, SILVER_VERSIONING
     if args.operation in ("all", "stats"):
         table = changelog.current(spark, root, v)
@@ -154,6 +168,18 @@ def maintain(spark: SparkSession, args) -> None:
     if args.operation in ("all", "cluster"):
         print("clustered up to commit:",
               changelog.write_base(spark, root, v, STATE, clustered_by="event_ts"))
+    if args.operation == "compact":
+        print("compacted up to commit:", changelog.write_base(spark, root, v, STATE))
+
+
+def _gold_stats(spark: SparkSession, path: str) -> None:
+    """A refresh replaces a gold table as a whole: it has no history to clean
+    and no tail to compact."""
+    if not exists(spark, path):
+        print("not built yet")
+        return
+    table = read_layer(spark, path)
+    print("rows:", table.count(), "data files:", len(table.inputFiles()))
 
 
 def parser() -> argparse.ArgumentParser:
@@ -183,7 +209,8 @@ def parser() -> argparse.ArgumentParser:
         mode={"default": "all", "choices": ["all", "upsert", "timetravel", "incremental"]})
     job("evolve", evolve, root=root, rows={"type": int, "default": 100})
     job("maintain", maintain, root=root, keep={"type": int, "default": 5},
-        operation={"default": "all", "choices": ["all", "stats", "clean", "cluster"]})
+        operation={"default": "all", "choices": ["all", "stats", "clean", "cluster", "compact"]},
+        table={"default": "all", "choices": ["all", *MAINTAINED]})
     return top
 
 

@@ -12,7 +12,8 @@ def with_lateness(events: DataFrame, batch: str, event_time: str, allowed: str)
     """Add the watermark of each row's batch and whether the row is behind it.
 
     As in a stream, the watermark of a batch is the greatest event time of all
-    earlier batches minus ``allowed``; the first batch has none. Times are
+    earlier batches minus ``allowed``, and a row at the watermark is behind it
+    too; the first batch has none. Times are
     reduced to one per batch first, so the running maximum and the join back
     handle one row per batch, not per event.
     """
@@ -21,7 +22,7 @@ def with_lateness(events: DataFrame, batch: str, event_time: str, allowed: str)
     marks = newest.select(
         batch, (F.max("_newest").over(earlier) - F.expr(f"INTERVAL {allowed}")).alias("watermark")
     )
-    behind = F.coalesce(F.col(event_time) < F.col("watermark"), F.lit(False))
+    behind = F.coalesce(F.col(event_time) <= F.col("watermark"), F.lit(False))
     return events.join(marks, batch, "left").withColumn("is_late", behind)
 
 

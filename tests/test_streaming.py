@@ -117,7 +117,12 @@ def test_layers_after_restart_and_replay(spark, lake, capsys):
         cli.main(["evolve", "--root", root], spark)
         assert "there already" in capsys.readouterr().out
         cli.main(["maintain", "--root", root, "--keep", "2"], spark)
-        assert "dropped commits" in capsys.readouterr().out
+        printed = capsys.readouterr().out
+        assert "dropped commits" in printed and "gold_status_funnel" in printed
+        cli.main(["maintain", "--root", root, "--table", "orders_silver",
+                  "--operation", "compact"], spark)
+        cli.main(["maintain", "--root", root + "/none", "--table", "gold_state_metrics"], spark)
+        assert "not built yet" in capsys.readouterr().out
         table = changelog.current(spark, layers.silver_versions, SILVER_VERSIONING)
         assert table.count() == 3
 
