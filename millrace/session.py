@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
-_local_roots: dict[str, str] = {}
+LOCAL_SCRATCH = "/tmp/checkpoints"
 
 RUNTIME_SETTINGS = {
     # The wire format marks UTC with a literal 'Z'.
@@ -44,16 +43,13 @@ def prepare(spark: SparkSession) -> SparkSession:
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir`` for written intermediates.
 
-    Every executor must see it, so a machine-local folder is only made up when
-    the whole session lives in one process.
+    Every executor must see it. Only a session that lives in one process may
+    leave the setting out; it gets ``LOCAL_SCRATCH``.
     """
-    context = spark.sparkContext
     root = spark.conf.get("spark.checkpoint.dir", None)
     if root is None:
-        if not context.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
-        app = context.applicationId
-        if app not in _local_roots:
-            _local_roots[app] = tempfile.mkdtemp(prefix="millrace-")
-        root = _local_roots[app]
+        root = f"{LOCAL_SCRATCH}/{spark.sparkContext.applicationId}"
     return f"{root.rstrip('/')}/{label}-{uuid.uuid4().hex[:12]}"
