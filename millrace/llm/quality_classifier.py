@@ -123,6 +123,8 @@ def fit_rules(values: np.ndarray, labels: np.ndarray, count: int = 25, depth: in
             if key not in found or len(rule.conditions) < len(found[key].conditions):
                 found[key] = rule
     chosen = list(found.values())
+    if not chosen:
+        return RuleEnsemble(0.0)
     x = np.stack([r.holds(values) for r in chosen], 1).astype(float)
     intercept, weights = _lasso_logistic(x, labels.astype(float), weight, penalty)
     return RuleEnsemble(intercept, tuple(
