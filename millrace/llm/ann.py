@@ -75,38 +75,45 @@ class Block:
         self.axes = draw.standard_normal((self.vectors.shape[1] + 1, conf.lines))
         projected = np.hstack([self.vectors, lift[:, None]]) @ self.axes
         self.order = np.ascontiguousarray(np.argsort(projected, axis=0, kind="stable").T)
-        self.sorted = np.take_along_axis(projected.T, self.order, 1)
+        ordered = np.take_along_axis(projected.T, self.order, 1)
+        # All lines in one ascending array: each line is shifted past the one before.
+        self.shift = np.arange(conf.lines) * (4 * float(np.abs(ordered).max()) + 1)
+        self.sorted = (ordered + self.shift[:, None]).ravel()
+        self.begin = np.arange(conf.lines) * len(self.ids)
         self.threshold = max(1, math.ceil(conf.share * conf.lines))
         self.sure = _half_width(_collision_share(conf.lines, self.threshold, conf.missed))
 
+    def _places(self, values: np.ndarray, side: str) -> list[int]:
+        """Where a value for each line stands in that line's sorted array."""
+        reach = self.shift[1] / 2 if len(self.shift) > 1 else np.inf
+        found = np.searchsorted(self.sorted, np.clip(values, -reach, reach) + self.shift, side)
+        return np.clip(found - self.begin, 0, len(self.ids)).tolist()
+
     def nearest(self, query: np.ndarray, k: int, own: int | None
                 ) -> tuple[np.ndarray, np.ndarray]:
         """Ids and inner products of the ``k`` best vectors found, ``own`` left out."""
-        n, lines = len(self.ids), self.conf.lines
+        n = len(self.ids)
         centre = query @ self.axes[:-1]
         length = float(query @ query)
-        counts, scores = np.zeros(n, np.int32), np.full(n, -np.inf)
-        at = np.array([np.searchsorted(row, c) for row, c in zip(self.sorted, centre)])
-        low, high = at.copy(), at.copy()
+        counts, scores = np.zeros(n, np.int64), np.full(n, -np.inf)
+        low = self._places(centre, "left")
+        high = low
         width = 0.35 * math.sqrt(length + self.reach)
         verified = np.zeros(n, bool)
         while True:
-            to_low = [np.searchsorted(r, c - width) for r, c in zip(self.sorted, centre)]
-            to_high = [np.searchsorted(r, c + width, "right")
-                       for r, c in zip(self.sorted, centre)]
-            for i in range(lines):
-                if to_low[i] < low[i]:
-                    counts[self.order[i, to_low[i]:low[i]]] += 1
-                    low[i] = to_low[i]
-                if to_high[i] > high[i]:
-                    counts[self.order[i, high[i]:to_high[i]]] += 1
-                    high[i] = to_high[i]
+            to_low = self._places(centre - width, "left")
+            to_high = self._places(centre + width, "right")
+            grown = [self.order[i, a:b] for i, (a, b) in enumerate(zip(to_low, low)) if a < b]
+            grown += [self.order[i, a:b] for i, (a, b) in enumerate(zip(high, to_high)) if a < b]
+            if grown:
+                counts += np.bincount(np.concatenate(grown), minlength=n)
+            low, high = to_low, to_high
             new = np.flatnonzero((counts >= self.threshold) & ~verified)
             verified[new] = True
             scores[new] = (self.vectors[new] * query).sum(1)
             if own is not None:
                 scores[new[self.ids[new] == own]] = -np.inf
-            done = low.max(initial=0) == 0 and high.min(initial=n) == n
+            done = max(low) == 0 and min(high) == n
             found = np.isfinite(scores)
             if found.sum() >= k:
                 last = np.partition(scores[found], -k)[-k]
@@ -167,6 +174,9 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20,
                          "vec_id": pa.array(out["vec_id"], pa.int64()),
                          "score": pa.array(out["score"], pa.float64())})
 
+    # A block is little data and much work: as many partitions as blocks, not by size.
+    tasks = blocks * query_blocks
+    index, asked = index.repartition(tasks, *keys), asked.repartition(tasks, *keys)
     found = index.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(
         search, "query_id bigint, vec_id bigint, score double")
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
