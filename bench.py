@@ -36,11 +36,14 @@ HEADLINE = [
 def time_ingest(spark, folder: str, versioned: bool) -> float:
     """The streaming pipeline over all events, in three batches. The messages
     are there before the clock starts, as they would be in a topic."""
-    path, root = scratch_dir(spark, "wire"), scratch_dir(spark, "lake")
+    path = scratch_dir(spark, "wire")
     queries._stage(spark, folder, path)
-    started = time.perf_counter()
-    queries._ingest(spark, path, Layers(root), f"{root}/checkpoint", versioned)
-    return time.perf_counter() - started
+    for _ in range(2):  # the first run warms up
+        root = scratch_dir(spark, "lake")
+        started = time.perf_counter()
+        queries._ingest(spark, path, Layers(root), f"{root}/checkpoint", versioned)
+        taken = time.perf_counter() - started
+    return taken
 
 
 def main() -> None:

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from millrace.functions.columns import format_event_time
 from millrace.operators.quality import valid_rows, with_quality_flags
-from millrace.operators.skew import estimated_bytes
 from millrace.operators.versions import Versioning
 from millrace.schema import STATES
 
@@ -32,19 +31,10 @@ TABLE_DDL = {
         value DOUBLE, props STRING""",
 }
 
-# Tables that carry the work, and the key most queries group them by.
-_SPREAD_BY = {"lineitem": "l_orderkey", "events": "user_id"}
-_SPLIT_BYTES = 128 * 1024 * 1024
-
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A given table. A fact table too small to fill every slot with a split of
-    its own is spread by key; a large one is read as it lies."""
-    rows = spark.read.schema(TABLE_DDL[name]).parquet(f"{sf}/{name}.parquet")
-    slots = spark.sparkContext.defaultParallelism
-    if name in _SPREAD_BY and estimated_bytes(rows) < slots * _SPLIT_BYTES:
-        return rows.repartition(slots, _SPREAD_BY[name])
-    return rows
+    """A given table as it lies."""
+    return spark.read.schema(TABLE_DDL[name]).parquet(f"{sf}/{name}.parquet")
 
 
 def _every(n: int) -> Column:
@@ -64,7 +54,7 @@ def order_events(spark: SparkSession, sf: str) -> DataFrame:
         F.when(F.col("o_orderstatus") == "F", "delivered")
         .when(F.col("o_orderstatus") == "O", "shipped").otherwise("created")
     )
-    state = F.element_at(F.split(F.lit(",".join(STATES)), ","), F.col("c_nationkey") + 1)
+    state = F.element_at(F.array(*map(F.lit, STATES)), F.col("c_nationkey") + 1)
     ordered_at = F.expr("o_orderdate + make_dt_interval(0, l_linenumber)")
     return joined.select(
         F.col("l_orderkey").alias("order_id"),
@@ -122,8 +112,9 @@ def event_payloads(spark: SparkSession, sf: str) -> DataFrame:
     }).drop("event_ts")
 
 
-def shop_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
-    """The five relational inputs of the enrichment, with gaps in each lookup."""
+def shop_tables(spark: SparkSession, sf: str, unpaid: int | None = 10) -> dict[str, DataFrame]:
+    """The five relational inputs of the enrichment, with gaps in each lookup. Every
+    ``unpaid``-th order has no payment."""
     orders = table(spark, sf, "orders")
     items = table(spark, sf, "lineitem")
     customer = table(spark, sf, "customer")
@@ -133,8 +124,8 @@ def shop_tables(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
         .when(F.col("o_orderstatus") == "O", "invoiced").otherwise("unavailable")
     )
     bought = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss")
-    state = F.element_at(F.split(F.lit(",".join(STATES)), ","), F.col("c_nationkey") + 1)
-    paid = orders.where("o_orderkey % 10 != 0")
+    state = F.element_at(F.array(*map(F.lit, STATES)), F.col("c_nationkey") + 1)
+    paid = orders if unpaid is None else orders.where(F.col("o_orderkey") % unpaid != 0)
     first = paid.select(
         F.col("o_orderkey").alias("order_id"), F.lit(1).alias("payment_sequential"),
         F.col("o_orderpriority").alias("payment_type"),

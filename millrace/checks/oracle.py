@@ -6,13 +6,11 @@ in how they round a binary value that lies at a half.
 
 from __future__ import annotations
 
-# The contract's states and statuses.
-_STATES = ("AC AL AM AP BA CE DF ES GO MA MG MS MT PA PB PE PI PR "
-           "RJ RN RO RR RS SC SE SP TO").split()
-_STATE_LIST = ", ".join(f"'{s}'" for s in _STATES)
-_STATUS_LIST = "'created', 'confirmed', 'shipped', 'delivered', 'cancelled'"
-_FLAGS = ("qc_has_order_id qc_valid_status qc_valid_state "
-          "qc_positive_qty qc_positive_price qc_has_event_time").split()
+from millrace.schema import QC_FLAGS, STATES, STATUSES
+
+_STATE_LIST = ", ".join(f"'{s}'" for s in STATES)
+_STATUS_LIST = ", ".join(f"'{s}'" for s in STATUSES)
+_FLAGS = list(QC_FLAGS)
 
 
 def _ts(x: str) -> str:
@@ -307,7 +305,7 @@ _EVOLVED = _orders_log() + f""", before AS (SELECT * FROM {_latest_orders()}), e
     CASE WHEN changed THEN CAST(order_id % 5 + 1 AS BIGINT) END AS review_score,
     CASE WHEN changed THEN CAST(date_diff('day', CAST(order_estimated_ts AS DATE),
       CAST(order_delivered_ts AS DATE)) AS DOUBLE) END AS delivery_delay_days
-  FROM (SELECT *, order_status = 'delivered' AND order_id % 2 = 0 AS changed FROM before))"""
+  FROM (SELECT *, order_status = 'delivered' AS changed FROM before))"""
 
 ORACLE["evolve_schema"] = f"""WITH {_EVOLVED}
 SELECT {_ROW}, review_score, delivery_delay_days FROM evolved"""
@@ -441,17 +439,19 @@ UNION ALL SELECT 'gold_category_performance', count(DISTINCT product_category) F
 
 # --- shop tables to events ------------------------------------------------------------
 
-_PAYMENTS = """payments AS (
+def _payments(paid: str) -> str:
+    return f"""payments AS (
   SELECT o_orderkey AS order_id, 1 AS seq, o_orderpriority AS payment_type,
-    o_totalprice AS payment_value FROM orders WHERE o_orderkey % 10 <> 0
+    o_totalprice AS payment_value FROM orders WHERE {paid}
   UNION ALL SELECT o_orderkey, 2, 'voucher', 10.0 FROM orders
-  WHERE o_orderkey % 10 <> 0 AND o_orderkey % 2 = 0), paid AS (
+  WHERE {paid} AND o_orderkey % 2 = 0), paid AS (
   SELECT order_id, CAST(sum(CAST(payment_value AS DECIMAL(24,6))) AS DOUBLE) AS payment_value,
     arg_min(payment_type, seq) AS payment_type FROM payments GROUP BY order_id)"""
 
-ORACLE["payments_per_order"] = f"WITH {_PAYMENTS} SELECT * FROM paid"
 
-ORACLE["enriched_order_events"] = f"""WITH {_PAYMENTS}
+ORACLE["payments_per_order"] = f"WITH {_payments('true')} SELECT * FROM paid"
+
+ORACLE["enriched_order_events"] = f"""WITH {_payments('o_orderkey % 10 <> 0')}
 SELECT o_orderkey AS order_id, o_custkey AS customer_id, CAST(l_partkey AS VARCHAR) AS product_id,
   coalesce(p_type, 'unknown') AS product_category, CAST(l_suppkey AS VARCHAR) AS seller_id,
   1::BIGINT AS quantity, {_round('l_extendedprice')} AS unit_price,
@@ -473,6 +473,32 @@ LEFT JOIN (SELECT * FROM part WHERE p_partkey % 50 <> 0) ON l_partkey = p_partke
 LEFT JOIN paid ON paid.order_id = o_orderkey
 WHERE o_orderkey % 61 <> 0"""
 
+# Repeats follow the rows they repeat and win.
+ORACLE["enriched_order_events_repeats"] = ORACLE["enriched_order_events"].replace(
+    "coalesce(c_mktsegment, 'unknown')",
+    "CASE WHEN c_custkey % 3 = 0 THEN 'moved' ELSE coalesce(c_mktsegment, 'unknown') END"
+).replace(
+    "coalesce(p_type, 'unknown')",
+    "CASE WHEN p_partkey % 3 = 0 THEN 'renamed' ELSE coalesce(p_type, 'unknown') END")
+
+ORACLE["money_sums_wide"] = """WITH amounts AS (
+  SELECT l_linenumber AS line, l_extendedprice * 1e15 AS wide, l_quantity AS narrow,
+    l_partkey % 50 = 0 AS spoilt FROM lineitem)
+SELECT CAST(line AS BIGINT) AS line,
+  CAST(CAST(sum(CAST(wide AS DECIMAL(38,0))) AS VARCHAR) AS DOUBLE) AS wide_total,
+  CAST(sum(CAST(CASE WHEN NOT spoilt THEN narrow END AS DECIMAL(24,6))) AS DOUBLE) AS finite_total,
+  CAST(count(*) FILTER (WHERE spoilt) AS BIGINT) AS not_finite,
+  CAST(count(*) FILTER (WHERE spoilt) > 0 AS VARCHAR) AS spoilt_total_is_nan
+FROM amounts GROUP BY line"""
+
+ORACLE["upsert_equal_time_and_commit"] = f"""WITH {_orders_log()}, base AS (
+  SELECT * FROM {_latest_orders('_commit_time <= 4')})
+SELECT {_ROW}, CASE WHEN order_id % 2 = 1 THEN seller_id - 1 ELSE seller_id END AS seller_id FROM base"""
+
+ORACLE["stream_watermark_dedup"] = """SELECT DISTINCT CAST(o_orderkey AS VARCHAR) AS order_id
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey
+JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey"""
+
 ORACLE["normalize_status"] = """WITH raw AS (
   SELECT ['created', 'approved', 'invoiced', 'processing', 'shipped', 'delivered',
     'unavailable', 'canceled', 'lost'][o_orderkey % 9 + 1] AS raw_status FROM orders)

@@ -15,7 +15,7 @@ from pyspark.sql import types as T
 
 from millrace.checks import inputs as given
 from millrace.functions.columns import normalize_status as contract_status
-from millrace.functions.measures import total
+from millrace.functions.measures import not_finite, total
 from millrace.operators import enrich, evolution, late, layout, quality, versions
 from millrace.operators.latest import latest_per_key, newest_first
 from millrace.operators.parse import decode_envelope, parse_events, with_event_times
@@ -263,6 +263,16 @@ def upsert_late_event_ignored(spark, sf):
     return _upserted(spark, sf, "shuffled_batch_id")
 
 
+@register
+def upsert_equal_time_and_commit(spark, sf):
+    """Base and delta share key, time and commit; the tie-break decides."""
+    v = given.ORDERS_LOG
+    base = versions.as_of(given.orders_log(spark, sf), v, 4)
+    delta = base.withColumn("seller_id", F.col("seller_id") + F.when(
+        F.col("order_id") % 2 == 1, -1).otherwise(1))
+    return versions.merge_latest(base, delta, v).select(*ROW, "seller_id")
+
+
 @register
 def upsert_bucketed_base(spark, sf):
     log, v = given.orders_log(spark, sf), given.ORDERS_LOG
@@ -370,7 +380,7 @@ def _evolution(spark, sf) -> tuple[DataFrame, DataFrame]:
     """The table before and after rows with two more columns were upserted."""
     log = given.orders_log(spark, sf)
     before = versions.snapshot(log, given.ORDERS_LOG)
-    delivered = before.where("order_status = 'delivered' AND order_id % 2 = 0")
+    delivered = before.where("order_status = 'delivered'")
     added = evolution.with_added_columns(delivered, portable=True).withColumn(
         given.ORDERS_LOG.commit, F.lit(8).cast("bigint"))
     return before, versions.merge_latest(before, added, given.ORDERS_LOG)
@@ -517,7 +527,7 @@ def catalog_report(spark, sf):
 
 @register
 def payments_per_order(spark, sf):
-    return enrich.payments_per_order(given.shop_tables(spark, sf)["payments"])
+    return enrich.payments_per_order(given.shop_tables(spark, sf, unpaid=None)["payments"])
 
 
 @register
@@ -525,6 +535,35 @@ def enriched_order_events(spark, sf):
     return enrich.chronological(enrich.order_item_events(**given.shop_tables(spark, sf)))
 
 
+@register
+def enriched_order_events_repeats(spark, sf):
+    """Every third customer and product comes twice; the later row counts."""
+    shop = given.shop_tables(spark, sf)
+    customers = shop["customers"].withColumn("seq", F.lit(1))
+    products = shop["products"].withColumn("seq", F.lit(1))
+    moved = customers.where("customer_id % 3 = 0").withColumns(
+        {"customer_city": F.lit("moved"), "seq": F.lit(2)})
+    renamed = products.where("CAST(product_id AS BIGINT) % 3 = 0").withColumns(
+        {"product_category_name": F.lit("renamed"), "seq": F.lit(2)})
+    shop |= {"customers": customers.union(moved), "products": products.union(renamed)}
+    return enrich.order_item_events(**shop, customer_sequence="seq", product_sequence="seq")
+
+
+@register
+def money_sums_wide(spark, sf):
+    """Amounts beyond 64 bits, and amounts that are no numbers."""
+    spoilt = F.when(F.col("l_partkey") % 50 == 0, F.lit(float("nan")))
+    amounts = given.table(spark, sf, "lineitem").select(
+        F.col("l_linenumber").alias("line"),
+        (F.col("l_extendedprice") * F.lit(1e15)).alias("wide"), spoilt.isNull().alias("whole"),
+        F.coalesce(spoilt, "l_quantity").alias("spoilt"))
+    return amounts.groupBy("line").agg(
+        total("wide").alias("wide_total"),
+        total(F.when(F.col("whole"), F.col("spoilt"))).alias("finite_total"),
+        not_finite("spoilt").alias("not_finite"),
+        F.isnan(total("spoilt")).alias("spoilt_total_is_nan"))
+
+
 @register
 def normalize_status(spark, sf):
     raw = F.element_at(F.array(*map(F.lit, [
@@ -733,13 +772,19 @@ def console_quarantine_view(spark, sf):
 
 @register
 def stream_watermark_dedup(spark, sf):
-    """Which repeats fall into the watermark depends on batch cuts, so this has
-    no counterpart in SQL."""
+    """Messages carry their arrival, a minute per batch, so that none is behind the
+    watermark: every order is there, once."""
     path = scratch_dir(spark, "wire")
-    _stage(spark, sf, path)
+    messages = _messages(spark, sf)
+    arrival = F.expr("(shuffled_batch_id - 1) div 3")
+    for number in (0, 1, 2):
+        append_envelope_batch(
+            messages.where(arrival == number).withColumn(
+                "timestamp", F.timestamp_seconds(F.lit(1_700_000_000 + 60 * number))),
+            path, _files(spark))
     parsed = parse_events(file_stream(spark, path, _files(spark))).where("order_id IS NOT NULL")
     unique = dedup_within_watermark(parsed, ["order_id"])
-    return _to_files(unique.select("order_id", "order_status", "event_ts"), spark, "unique")
+    return _to_files(unique.select("order_id"), spark, "unique")
 
 
 @register

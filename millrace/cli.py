@@ -44,12 +44,19 @@ def console(spark: SparkSession, args) -> None:
 
 def replay(spark: SparkSession, args) -> None:
     events = enrich.chronological(enrich.order_item_events(
-        **read_shop(spark, args.data), customer_sequence=None, product_sequence=None))
+        **_in_file_order(read_shop(spark, args.data)),
+        customer_sequence="_row", product_sequence="_row"))
     stamped = events.withColumn("processing_time", F.date_format(
         F.current_timestamp(), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS'Z'"))
     publish(to_messages(stamped), args.servers, args.topic)
 
 
+def _in_file_order(shop: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """Customers and products with their place in the files: of repeats the last row counts."""
+    return {name: rows.withColumn("_row", F.monotonically_increasing_id())
+            if name in ("customers", "products") else rows for name, rows in shop.items()}
+
+
 def _silver(spark: SparkSession, root: str) -> DataFrame:
     """The versioned table where there is one, else the appended layer."""
     layers = Layers(root)
@@ -161,7 +168,6 @@ def _maintain_silver(spark: SparkSession, args) -> None:
     if args.operation in ("all", "stats"):
         table = changelog.current(spark, root, v)
         audit.table_stats(table, v, STATE).show(truncate=False)
-        print("data files:", len(table.inputFiles()))
         audit.partition_row_counts(table, STATE, top=15).show(truncate=False)
     if args.operation in ("all", "clean"):
         print("dropped commits:", changelog.retain_last_commits(spark, root, v, args.keep, STATE))
@@ -179,7 +185,7 @@ def _gold_stats(spark: SparkSession, path: str) -> None:
         print("not built yet")
         return
     table = read_layer(spark, path)
-    print("rows:", table.count(), "data files:", len(table.inputFiles()))
+    audit.file_counts(table).show(truncate=False)
 
 
 def parser() -> argparse.ArgumentParser:

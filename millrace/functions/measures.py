@@ -1,10 +1,11 @@
 """Aggregates whose value does not depend on the order of the rows.
 
 Money arrives as double. A sum of doubles changes with task order and with
-every retried task. Here an amount is cut into whole units and millionths, two
-integers whose sums are exact and stay cheap inside generated code; the sums
-are put together as a decimal and leave as double. A value that is no number
-(NaN, infinity) is left out instead of failing the job.
+every retried task. Here an amount is cut into integer limbs of 21 bits and
+millionths, whose sums are exact, cannot overflow and stay cheap inside
+generated code; the sums are put together as a decimal and leave as double. What has
+no such form, NaN, infinity and amounts from 2^100 on, is summed as double beside it and
+shows in the result.
 """
 
 from __future__ import annotations
@@ -17,30 +18,43 @@ from pyspark.sql import functions as F
 # For amounts that are few already, such as gold rows.
 MONEY = "decimal(24,6)"
 
-_LARGEST = 9.0e18
-_MILLIONTH = Decimal("0.000001")
+_EXACT_BELOW = float(2**100)
+_WORD = float(2**63)
+_LIMB = 21
 
 
-def amount(column: Column | str) -> Column:
-    """The value as double, NULL where it is no finite number."""
-    value = (F.col(column) if isinstance(column, str) else column).cast("double")
-    return F.when(F.abs(value) < _LARGEST, value)
-
-
-def _exact_sum(column: Column | str) -> Column:
-    value = amount(column)
-    units = F.floor(value)
-    millionths = F.rint((value - units) * 1_000_000.0).cast("bigint")
-    whole = F.sum(units).cast("decimal(20,0)")
-    return whole + F.sum(millionths).cast("decimal(20,0)") * F.lit(_MILLIONTH)
+def _number(column: Column | str) -> Column:
+    return (F.col(column) if isinstance(column, str) else column).cast("double")
 
 
 def total(column: Column | str) -> Column:
-    return _exact_sum(column).cast("double")
+    """Sum of the amounts; NULLs are left out, NaN and infinity are not."""
+    value = _number(column)
+    inside = F.abs(value) < _EXACT_BELOW
+    exact = F.when(inside, value)
+    words = F.when(F.abs(exact) < _WORD, F.lit(0)).otherwise((exact / _WORD).cast("bigint"))
+    near = exact - words * _WORD
+    units = F.floor(near)
+    limbs = [units.bitwiseAND((1 << _LIMB) - 1),
+             F.shiftright(units, _LIMB).bitwiseAND((1 << _LIMB) - 1),
+             F.shiftright(units, 2 * _LIMB), words]
+    whole = F.sum(F.rint((near - units) * 1_000_000.0).cast("bigint")).cast(
+        "decimal(20,0)") * F.lit(Decimal("0.000001"))
+    for place, limb in enumerate(limbs):
+        whole = whole + F.sum(limb).cast("decimal(18,0)") * F.lit(Decimal(2 ** (_LIMB * place)))
+    rest = F.sum(F.when(~inside, value))
+    return F.when(rest.isNull(), whole.cast("double")).otherwise(
+        rest + F.coalesce(whole.cast("double"), F.lit(0.0)))
 
 
 def mean(column: Column | str) -> Column:
-    return total(column) / F.nullif(F.count(amount(column)), F.lit(0))
+    return total(column) / F.nullif(F.count(_number(column)), F.lit(0))
+
+
+def not_finite(column: Column | str) -> Column:
+    """How many amounts are NaN or infinite."""
+    value = _number(column)
+    return F.count_if(F.isnan(value) | (F.abs(value) == float("inf")))
 
 
 def mean_hours(seconds: Column) -> Column:

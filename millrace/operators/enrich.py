@@ -10,7 +10,6 @@ from millrace.functions.columns import (
 )
 from millrace.functions.measures import total
 from millrace.operators.latest import latest_per_key
-from millrace.operators.skew import skew_join
 
 
 def payments_per_order(payments: DataFrame, sequence: str = "payment_sequential") -> DataFrame:
@@ -42,28 +41,28 @@ def order_item_events(
 
     Lookups that find nothing give ``unknown``, a missing payment gives 0. The
     order side is completed first, because it is narrower and has one row per
-    order; then items, which may crowd on single orders or products, join it.
+    order; then items join it. Items may crowd on single orders or products; Spark
+    sizes up the sides while it runs, broadcasts small ones and splits hot keys.
     """
     customers = last_row(customers, "customer_id", customer_sequence)
     products = last_row(products, "product_id", product_sequence)
 
     order_side = (
-        skew_join(
-            orders.where(blank_to_null("order_purchase_timestamp").isNotNull()),
-            customers.select("customer_id", "customer_state", "customer_city"),
-            "customer_id", "left",
-        )
+        orders.where(blank_to_null("order_purchase_timestamp").isNotNull())
+        .join(customers.select("customer_id", "customer_state", "customer_city"),
+              "customer_id", "left")
         .join(payments_per_order(payments), "order_id", "left")
     )
-    lines = skew_join(
-        items.select("order_id", "product_id", "seller_id", "price", "freight_value"),
+    lines = items.select(
+        "order_id", "product_id", "seller_id", "price", "freight_value",
+    ).join(
         products.select(
             "product_id", F.lit(True).alias("known_product"),
             blank_to_null("product_category_name").alias("product_category"),
         ),
         "product_id", "left",
     )
-    matched = skew_join(lines, order_side, "order_id", counted=items)
+    matched = lines.join(order_side, "order_id")
 
     unknown, nothing = F.lit("unknown"), F.lit(0.0)
     price, freight = F.coalesce("price", nothing), F.coalesce("freight_value", nothing)

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from millrace.operators.skew import settled
-
 
 def with_lateness(events: DataFrame, batch: str, event_time: str, allowed: str) -> DataFrame:
     """Add the watermark of each row's batch and whether the row is behind it.
@@ -17,7 +15,7 @@ def with_lateness(events: DataFrame, batch: str, event_time: str, allowed: str)
     reduced to one per batch first, so the running maximum and the join back
     handle one row per batch, not per event.
     """
-    newest = settled(events.groupBy(batch).agg(F.max(event_time).alias("_newest")))
+    newest = events.groupBy(batch).agg(F.max(event_time).alias("_newest"))
     earlier = Window.orderBy(batch).rowsBetween(Window.unboundedPreceding, -1)
     marks = newest.select(
         batch, (F.max("_newest").over(earlier) - F.expr(f"INTERVAL {allowed}")).alias("watermark")

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame
 
-from millrace.operators.skew import estimated_bytes
+from millrace.operators.sizes import estimated_bytes
 from millrace.schema import COMPRESSION
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024

@@ -14,7 +14,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.operators.latest import latest_per_key, newest_first
-from millrace.operators.skew import BROADCAST_BYTES, estimated_bytes, settled
 
 
 @dataclass(frozen=True)
@@ -87,7 +86,7 @@ def changes_per_commit_pair(log: DataFrame, v: Versioning) -> DataFrame:
     # there is one row per commit.
     owner = current.groupBy(*v.keys).agg(F.max(v.commit).alias(v.commit))
     surviving = owner.select(v.commit).distinct().withColumn("_surviving", F.col(v.commit))
-    timeline = settled(log.select(v.commit).distinct().join(surviving, v.commit, "left"))
+    timeline = log.select(v.commit).distinct().join(surviving, v.commit, "left")
     by_commit = Window.orderBy(v.commit)
     slots = timeline.select(
         v.commit,
@@ -125,34 +124,14 @@ def commit_counts(rows: DataFrame, v: Versioning) -> DataFrame:
     return rows.groupBy(v.commit).agg(F.count("*").alias("records"))
 
 
-def merge_latest(
-    base: DataFrame, delta: DataFrame, v: Versioning, small_bytes: int = BROADCAST_BYTES
-) -> DataFrame:
+def merge_latest(base: DataFrame, delta: DataFrame, v: Versioning) -> DataFrame:
     """Upsert: ``base`` holds one row per key, ``delta`` any number of versions.
 
-    A delta below ``small_bytes`` is sent to the base, which then is neither
-    shuffled nor sorted. A larger one is united with the base and ranked.
-    Columns that only one side has are NULL on the other.
+    The order of versions decides, ties included, whichever side a row comes
+    from. Both sides send at most one row per key and task. Columns that only
+    one side has are NULL on the other.
     """
-    if estimated_bytes(delta) > small_bytes:
-        return snapshot(base.unionByName(delta, allowMissingColumns=True), v)
-    newest = snapshot(delta, v)
-    offered = newest.select(
-        *(F.col(key).alias(f"_new_{key}") for key in v.keys),
-        F.col(v.event_time).alias("_new_time"),
-        F.col(v.commit).alias("_new_commit"),
-    )
-    same_key = [F.col(key) == F.col(f"_new_{key}") for key in v.keys]
-    beats_base = _newer_or_equal("_new_time", v.event_time, "_new_commit", v.commit)
-    kept = base.join(F.broadcast(offered), [*same_key, beats_base], "left_anti")
-    refused = (
-        base.select(*v.keys, v.event_time, v.commit)
-        .join(F.broadcast(offered), [*same_key, ~beats_base])
-        .select(*v.keys)
-    )
-    # At most one refused row per offered row, so this side is as small.
-    accepted = newest.join(F.broadcast(refused), list(v.keys), "left_anti")
-    return kept.unionByName(accepted, allowMissingColumns=True)
+    return snapshot(base.unionByName(delta, allowMissingColumns=True), v)
 
 
 def merge_into_buckets(
@@ -186,10 +165,3 @@ def keep_last_commits(log: DataFrame, v: Versioning, commits: int) -> DataFrame:
 
 def _literal(value) -> Column:
     return value if isinstance(value, Column) else F.lit(value)
-
-
-def _newer_or_equal(time: str, than_time: str, commit: str, than_commit: str) -> Column:
-    """Never NULL: a missing time is older than any other."""
-    at, than = F.col(time), F.col(than_time)
-    same = at.eqNullSafe(than) & (F.col(commit) >= F.col(than_commit))
-    return F.coalesce(at > than, at.isNotNull() & than.isNull()) | same

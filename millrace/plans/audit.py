@@ -8,7 +8,6 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from millrace.functions.measures import percent
-from millrace.operators.skew import skew_join
 from millrace.operators.versions import (
     Versioning, as_of, owning_commits, snapshot, surviving_commits,
 )
@@ -60,12 +59,12 @@ def version_history(
     """All versions of every key that has several, beside the winning version.
 
     Winners carry the number of versions, so the versions join one row per key;
-    a key with very many versions is spread over tasks.
+    a key with very many versions is split by Spark's skew join.
     """
     (key,) = v.keys
     winners = snapshot(rows, v).select(key, *(F.col(c).alias(f"current_{c}") for c in columns))
     wanted = winners.join(multi_version_keys(rows, key), key)
-    return skew_join(rows.select(key, *columns), wanted, key)
+    return rows.select(key, *columns).join(wanted, key)
 
 
 def versions_of(rows: DataFrame, key: str, value, order: Sequence[str]) -> DataFrame:
@@ -77,13 +76,15 @@ def time_travel_growth(log: DataFrame, v: Versioning) -> DataFrame:
     """Table size at the first and at the last commit that still owns a row.
 
     A key is in the table from its first commit on, so both sizes count keys.
-    Keys are grouped by first and owning commit before commits are compared.
+    Keys are grouped by their first commit, so the windows run over one row per
+    commit.
     """
-    groups = owning_commits(log, v).groupBy("first_commit", "owner").agg(F.count("*").alias("_n"))
+    groups = owning_commits(log, v).groupBy("first_commit").agg(
+        F.count("*").alias("_n"), F.min("owner").alias("_early"), F.max("owner").alias("_late"))
     bounds = groups.select(
         "first_commit", "_n",
-        F.min("owner").over(Window.partitionBy()).alias("early_commit"),
-        F.max("owner").over(Window.partitionBy()).alias("late_commit"),
+        F.min("_early").over(Window.partitionBy()).alias("early_commit"),
+        F.max("_late").over(Window.partitionBy()).alias("late_commit"),
     )
     sizes = bounds.groupBy("early_commit", "late_commit").agg(
         F.sum(F.when(F.col("first_commit") <= F.col("early_commit"), F.col("_n")))
@@ -124,6 +125,13 @@ def table_stats(current: DataFrame, v: Versioning, partition: str) -> DataFrame:
     )
 
 
+def file_counts(table: DataFrame) -> DataFrame:
+    """Rows and data files of a table that is read straight from files."""
+    return table.groupBy(F.col("_metadata.file_path").alias("_file")).agg(
+        F.count("*").alias("_n")).agg(
+        F.coalesce(F.sum("_n"), F.lit(0)).alias("records"), F.count("_file").alias("files"))
+
+
 def partition_row_counts(current: DataFrame, partition: str, top: int | None = None) -> DataFrame:
     counts = current.groupBy(partition).agg(F.count("*").alias("records"))
     ordered = counts.orderBy(F.col("records").desc(), partition)

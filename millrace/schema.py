@@ -108,9 +108,8 @@ SHOP_TABLES = {
         product_height_cm STRING, product_width_cm STRING""",
 }
 
-# Layers are written once and kept: a third smaller than with the default codec
-# at about the same cost.
+# Layers are written once and kept: a third smaller than with the default codec.
 COMPRESSION = "zstd"
 
-DEFAULT_DATABASE = "lakehouse_db"
+DEFAULT_DATABASE = "millrace"
 DEFAULT_TOPIC = "orders"

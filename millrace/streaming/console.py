@@ -23,8 +23,8 @@ def start_console(raw: DataFrame, every: str = "10 seconds") -> list[StreamingQu
     """Both views as concurrent queries; await them with ``spark.streams``."""
     valid, quarantined = console_views(raw)
     return [
-        _to_console(valid, rows=20).queryName("valid-orders").trigger(processingTime=every).start(),
-        _to_console(quarantined, rows=10).queryName("quarantine-orders")
+        _to_console(valid, rows=20).queryName("valid-view").trigger(processingTime=every).start(),
+        _to_console(quarantined, rows=10).queryName("quarantine-view")
         .trigger(processingTime=every).start(),
     ]
 

@@ -86,7 +86,9 @@ def test_scratch_folder(spark, tmp_path):
     cluster = types.SimpleNamespace(
         conf=types.SimpleNamespace(get=lambda name, default: default),
         sparkContext=types.SimpleNamespace(master="spark://host:7077", applicationId="a"))
-    with pytest.raises(RuntimeError):
-        session.scratch_dir(cluster, "x")
+    for master in ("spark://host:7077", "local-cluster[3,2,1024]"):
+        cluster.sparkContext.master = master
+        with pytest.raises(RuntimeError):
+            session.scratch_dir(cluster, "x")
     cluster.sparkContext.master = "local[4]"
-    assert "millrace-" in session.scratch_dir(cluster, "x")
+    assert session.scratch_dir(cluster, "x").startswith(f"{session.LOCAL_SCRATCH}/a/x-")

@@ -62,9 +62,7 @@ def test_last_lookup_row_wins(spark):
         ("p", "new"), ("q", "only")]
 
 
-def test_hot_order_joins_whole(spark, monkeypatch):
-    from millrace.operators import skew
-    monkeypatch.setattr(skew, "BROADCAST_BYTES", 0)
+def test_hot_order_joins_whole(spark):
     orders = spark.range(50).select(
         F.col("id").alias("order_id"), (F.col("id") % 7).alias("customer_id"),
         F.lit("created").alias("order_status"),

@@ -149,7 +149,7 @@ def test_console_views(spark, tmp_path):
     try:
         for query in queries:
             query.processAllAvailable()
-        assert [q.name for q in queries] == ["valid-orders", "quarantine-orders"]
+        assert [q.name for q in queries] == ["valid-view", "quarantine-view"]
         assert all(q.exception() is None for q in queries)
     finally:
         for query in queries:
