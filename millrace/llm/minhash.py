@@ -142,7 +142,8 @@ def fingerprints(docs: DataFrame, conf: MinHash) -> DataFrame:
 
 
 def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, conf: MinHash) -> DataFrame:
-    """The pairs ``a, b`` whose signatures and then whose full sets are alike."""
+    """The pairs ``a, b`` whose signatures and then whose full sets are alike. ``docs``
+    has the texts of the nodes (node, text)."""
     def sides(table: DataFrame, *columns: str) -> list[DataFrame]:
         return [table.select(F.col("node").alias(side),
                              *(F.col(c).alias(f"{c}_{side}") for c in columns))
@@ -152,10 +153,7 @@ def _similar(pairs: DataFrame, nodes: DataFrame, docs: DataFrame, conf: MinHash)
     signed = per_batch(
         pairs.join(left, "a").join(right, "b").select("a", "b", "minima_a", "minima_b"),
         "a bigint, b bigint", lambda: functools.partial(_alike_signatures, least=conf.verify))
-    signed = written(signed, "minhash-signed")
-    wanted = signed.select(F.explode(F.array("a", "b")).alias("node")).distinct()
-    whole = docs.select(F.col("doc_id").alias("node"), "text").join(wanted, "node", "left_semi")
-    left, right = sides(whole, "text")
+    left, right = sides(docs, "text")
     return per_batch(
         signed.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b"),
         "a bigint, b bigint", lambda: functools.partial(_alike_sets, conf=conf)).distinct()
@@ -306,11 +304,15 @@ def near_duplicates(docs: DataFrame, conf: MinHash = MinHash()) -> DataFrame:
             F.min("doc_id").alias("node"), F.max("n_shingles").alias("size"),
             F.min("minima").alias("minima"), F.min("bands").alias("bands")),
         "minhash-nodes")
-    nodes = groups.select("node", "size", "minima", "bands")
-    rows = nodes.select("node", "size", F.explode("bands").alias("key"))
+    rows = groups.select("node", "size", F.explode("bands").alias("key"))
     buckets = rows.groupBy("key").agg(F.count(F.lit(1)).alias("fellows")).where("fellows > 1")
     members = written(rows.join(buckets, "key"), "minhash-members")
-    whole = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
+    nodes = written(groups.select("node", "minima", "bands").join(
+        members.select("node").distinct(), "node", "left_semi"), "minhash-signatures")
+    # The one shuffle that carries texts of all documents; from here on only those of members.
+    whole = written(
+        docs.where("doc_id IS NOT NULL").select(F.col("doc_id").alias("node"), "text")
+        .join(members.select("node").distinct(), "node", "left_semi"), "minhash-texts")
     stars = written(_similar(_hub_pairs(members, conf), nodes, whole, conf), "minhash-stars")
     labels = written(components(stars), "minhash-labels")
 
@@ -319,10 +321,10 @@ def near_duplicates(docs: DataFrame, conf: MinHash = MinHash()) -> DataFrame:
         F.min("label").alias("low"), F.max("label").alias("high")).where("low < high")
     unresolved = written(labelled.join(mixed, "key", "left_semi"), "minhash-unresolved")
     open_nodes = unresolved.select("node", "label", "size").distinct()
-    hashes = per_batch(
-        whole.withColumnRenamed("doc_id", "node").join(
-            open_nodes.select("node").distinct(), "node", "left_semi"),
-        "node bigint, shingle bigint", lambda: functools.partial(_shingle_rows, words=conf.words))
+    hashes = written(per_batch(
+        whole.join(open_nodes.select("node").distinct(), "node", "left_semi"),
+        "node bigint, shingle bigint", lambda: functools.partial(_shingle_rows, words=conf.words)),
+        "minhash-hashes")
     counts = hashes.groupBy("shingle").agg(F.count(F.lit(1)).alias("n"))
     open_sets = written(
         hashes.join(counts, "shingle").join(open_nodes, "node"), "minhash-open")
