@@ -43,8 +43,8 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
     return byte_bpe.encode_decode(
-        docs, public_tokenizers.path(ENCODING_RANKS), public_tokenizers.PATTERN
-    ).drop("decoded")
+        docs, public_tokenizers.path(ENCODING_RANKS), public_tokenizers.PATTERN,
+        ("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

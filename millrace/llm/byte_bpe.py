@@ -1,7 +1,7 @@
 """Byte-level BPE encoding and decoding with a hierarchical-bitmap rank queue.
 
 The queue holds one bucket per merge rank with positions of a linked list of
-symbols, and three levels of 64-bit words that tell which buckets hold any. The next
+symbols, and two levels of 256-bit words that tell which buckets hold any. The next
 rank is found by find-first-set from the top word down. Entries that a
 merge has made stale are skipped when they come up. Pushing and popping cost the same
 however long the piece is, which suits very long pieces.
@@ -22,54 +22,61 @@ from pyspark.sql import DataFrame
 
 from millrace.llm.common import per_batch, texts
 
-SCHEMA = ("doc_id bigint, n_tokens bigint, ids array<int>, ids_sha256 string, "
-          "decoded binary, decoded_sha256 string")
+COLUMNS = {
+    "doc_id": "bigint", "n_tokens": "bigint", "ids": "array<int>", "ids_sha256": "string",
+    "decoded": "binary", "decoded_sha256": "string",
+}
 _REMEMBERED_LENGTH = 64
 
 
+_WIDTH = 256
+_BIT = [1 << i for i in range(_WIDTH)]
+
+
 class RankQueue:
-    """A queue of (rank, position), lowest rank first, equal ranks by position."""
+    """A queue of (rank, position), lowest rank first, equal ranks by position.
+
+    ``low`` has a bit per rank, ``top`` one per word of ``low``. Ranks above
+    ``_WIDTH`` squared make ``top`` longer, not the number of levels larger.
+    """
 
     def __init__(self, ranks: int):
-        self.low = [0] * (-(-ranks // 64) or 1)
-        self.middle = [0] * (-(-len(self.low) // 64))
+        self.low = [0] * (ranks // _WIDTH + 1)
         self.top = 0
-        self.buckets: dict[int, list[int]] = {}
+        self.buckets: list[list[int]] = [[] for _ in range(ranks)]
 
     def push(self, rank: int, position: int) -> None:
-        bucket = self.buckets.get(rank)
-        if bucket is not None:
-            bucket.append(position)
-            return
-        self.buckets[rank] = [position]
-        low, middle = rank >> 6, rank >> 12
-        self.low[low] |= 1 << (rank & 63)
-        self.middle[middle] |= 1 << (low & 63)
-        self.top |= 1 << middle
+        bucket = self.buckets[rank]
+        if not bucket:
+            word = rank >> 8
+            self.low[word] |= _BIT[rank & 255]
+            self.top |= 1 << word
+        bucket.append(position)
 
     def pop(self) -> tuple[int, list[int]]:
         """The lowest rank with all its positions, in order; only while ``top`` is set."""
         top = self.top
-        m = (top & -top).bit_length() - 1
-        word = self.middle[m]
-        n = (m << 6) | (word & -word).bit_length() - 1
-        bits = self.low[n]
-        rank = (n << 6) | (bits & -bits).bit_length() - 1
-        self.low[n] = bits = bits & (bits - 1)
+        word = (top & -top).bit_length() - 1
+        bits = self.low[word]
+        rank = (word << 8) + (bits & -bits).bit_length() - 1
+        self.low[word] = bits = bits & (bits - 1)
         if not bits:
-            self.middle[m] = word = word & (word - 1)
-            if not word:
-                self.top = top & (top - 1)
-        bucket = self.buckets.pop(rank)
+            self.top = top & (top - 1)
+        bucket = self.buckets[rank]
+        self.buckets[rank] = []
         if len(bucket) > 1:
             bucket.sort()
         return rank, bucket
 
 
+#: Ids, the same as decimal text joined by commas, and their bytes.
+Coded = tuple[tuple[int, ...], str, bytes]
+
+
 class RankCodec:
     """Encoder and decoder for a file of base64 byte strings and their ranks."""
 
-    def __init__(self, path: str, pattern: str, remembered: int = 400_000):
+    def __init__(self, path: str, pattern: str, remembered: int = 600_000):
         self.ranks: dict[bytes, int] = {}
         with open(path, "rb") as file:
             for line in file:
@@ -87,8 +94,8 @@ class RankCodec:
                 left, right = self.ranks.get(token[:cut]), self.ranks.get(token[cut:])
                 if left is not None and right is not None:
                     self.pairs[left, right] = rank
-        self.young: dict[str, tuple[int, ...]] = {}
-        self.old: dict[str, tuple[int, ...]] = {}
+        self.young: dict[str, Coded] = {}
+        self.old: dict[str, Coded] = {}
         self.half = max(1, remembered // 2)
 
     def piece(self, data: bytes) -> list[int]:
@@ -101,64 +108,70 @@ class RankCodec:
         count, queue, merge_rank = len(ids), self.queue, self.pairs.get
         push, pop = queue.push, queue.pop
         after, before = [*range(1, count), -1], list(range(-1, count - 1))
-        for i, pair in enumerate(zip(ids, ids[1:])):
-            rank = merge_rank(pair)
+        # Rank of the pair that begins at each position, None where there is none.
+        ranked = [merge_rank(pair) for pair in zip(ids, ids[1:])]
+        ranked.append(None)
+        for i, rank in enumerate(ranked):
             if rank is not None:
                 push(rank, i)
         while queue.top:
             rank, positions = pop()
             for left in positions:
-                right = after[left]
                 # Stale: a symbol here was merged since, and the pair is another now.
-                if right < 0 or merge_rank((ids[left], ids[right])) != rank:
+                if ranked[left] != rank:
                     continue
+                right = after[left]
                 ids[left], ids[right] = rank, -1
+                ranked[left] = ranked[right] = None
                 following = after[left] = after[right]
-                after[right] = -1
                 if following >= 0:
                     before[following] = left
-                    new = merge_rank((rank, ids[following]))
+                    ranked[left] = new = merge_rank((rank, ids[following]))
                     if new is not None:
                         push(new, left)
                 previous = before[left]
                 if previous >= 0:
-                    new = merge_rank((ids[previous], rank))
+                    ranked[previous] = new = merge_rank((ids[previous], rank))
                     if new is not None:
                         push(new, previous)
         return [i for i in ids if i >= 0]
 
-    def chunk(self, text: str) -> tuple[int, ...]:
-        """Ids of a stretch that begins and ends at a piece's border."""
-        found = self.young.get(text)
-        if found is not None:
-            return found
-        found = self.old.get(text)
+    def chunk(self, text: str) -> Coded:
+        """A stretch that begins and ends at a piece's border."""
+        found = self.young.get(text) or self.old.get(text)
         if found is None:
             parts = self.split.findall(text)
             if len(parts) == 1:
-                found = tuple(self.piece(text.encode()))
+                found = self.coded(self.piece(text.encode()))
             else:
-                found = tuple(chain.from_iterable(map(self.remembered, parts)))
+                coded = list(map(self.remembered, parts))
+                found = self.coded(list(chain.from_iterable(c[0] for c in coded)))
         return self.remember(text, found)
 
-    def remembered(self, piece: str) -> tuple[int, ...]:
-        found = self.young.get(piece)
+    def remembered(self, piece: str) -> Coded:
+        found = self.young.get(piece) or self.old.get(piece)
         if found is None:
-            found = self.old.get(piece)
-            if found is None:
-                found = tuple(self.piece(piece.encode()))
-            self.remember(piece, found)
-        return found
+            found = self.coded(self.piece(piece.encode()))
+        return self.remember(piece, found)
 
-    def remember(self, text: str, ids: tuple[int, ...]) -> tuple[int, ...]:
-        if len(text) <= _REMEMBERED_LENGTH:
+    def coded(self, ids: list[int]) -> Coded:
+        """Ids with their text form and the bytes that they decode to."""
+        return tuple(ids), ",".join(map(str, ids)), self.decode(ids)
+
+    def remember(self, text: str, found: Coded) -> Coded:
+        if len(text) <= _REMEMBERED_LENGTH and text not in self.young:
             if len(self.young) >= self.half:
                 self.old, self.young = self.young, {}
-            self.young[text] = ids
-        return ids
+            self.young[text] = found
+        return found
+
+    def code(self, text: str) -> list[Coded]:
+        """The whole text, stretch by stretch."""
+        known, chunk = self.young.get, self.chunk
+        return [known(part) or chunk(part) for part in self._chunks(text)]
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable(map(self.chunk, self._chunks(text))))
+        return list(chain.from_iterable([c[0] for c in self.code(text)]))
 
     def _chunks(self, text: str):
         """A space between two characters that are not blank always starts a
@@ -187,46 +200,41 @@ _CROWDED = regex.compile(r"[ ]\s|\s[ ]")
 _LONE_SPACE = regex.compile(r"(?<=\S)(?=[ ]\S)")
 
 
-def encode_decode(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+def encode_decode(docs: DataFrame, ranks: str, pattern: str,
+                  columns: tuple[str, ...] = tuple(COLUMNS)) -> DataFrame:
     """Ids of each document's whole text, the bytes they decode to, and digests of both.
 
     NULL and empty texts have no ids and no bytes. Every row of ``docs`` gives
-    one row, repeated and NULL ids included; other columns are left out. A
-    column that is not read costs nothing but its making in the task.
+    one row, repeated and NULL ids included; other columns are left out. Only
+    ``columns`` leave the task.
     """
-    return _coded(docs, ranks, pattern, SCHEMA)
-
-
-def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
-    """As :func:`encode_decode`, digests only, so that ids and bytes stay in the task."""
-    return _coded(docs, ranks, pattern,
-                  "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
-
-
-def _coded(docs: DataFrame, ranks: str, pattern: str, schema: str) -> DataFrame:
-    wanted = [part.split()[0] for part in schema.split(", ")]
-
     def make():
         codec = codec_for(ranks, pattern)
-        written = {i: str(i) for i in codec.bytes}
 
         def one(text: str) -> dict:
-            ids = codec.encode(text)
-            decoded = codec.decode(ids)
+            coded = codec.code(text)
+            decoded = b"".join([c[2] for c in coded])
             row = {
-                "n_tokens": len(ids),
-                "ids_sha256": hashlib.sha256(
-                    ",".join(map(written.__getitem__, ids)).encode()).hexdigest(),
+                "n_tokens": sum([len(c[0]) for c in coded]),
+                "ids_sha256": hashlib.sha256(",".join([c[1] for c in coded]).encode()).hexdigest(),
+                "decoded": decoded,
                 "decoded_sha256": hashlib.sha256(decoded).hexdigest(),
             }
-            if "ids" in wanted:
-                row |= {"ids": ids, "decoded": decoded}
+            if "ids" in columns:
+                row["ids"] = list(chain.from_iterable([c[0] for c in coded]))
             return row
 
         def step(batch):
             rows = [one(t) for t in texts(batch)]
             return {name: batch.column("doc_id") if name == "doc_id" else [r[name] for r in rows]
-                    for name in wanted}
+                    for name in columns}
         return step
 
+    schema = ", ".join(f"{name} {COLUMNS[name]}" for name in columns)
     return per_batch(docs.select("doc_id", "text"), schema, make)
+
+
+def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:
+    """As :func:`encode_decode`, digests only, so that ids and bytes stay in the task."""
+    return encode_decode(docs, ranks, pattern,
+                         ("doc_id", "n_tokens", "ids_sha256", "decoded_sha256"))
