@@ -7,7 +7,8 @@ merge has made stale are skipped when they come up. Pushing and popping cost the
 however long the piece is, which suits very long pieces.
 
 Rows are independent: one pass, no shuffle. Encoded pieces are remembered per
-task in a table of bounded size.
+task in a table of bounded size; the new ones of some texts go through the queue at once,
+so that one pop serves many of them.
 """
 
 from __future__ import annotations
@@ -15,7 +16,8 @@ from __future__ import annotations
 import base64
 import functools
 import hashlib
-from itertools import chain
+from collections.abc import Iterable, Iterator
+from itertools import accumulate, chain
 
 import regex
 from pyspark.sql import DataFrame
@@ -98,80 +100,113 @@ class RankCodec:
         self.old: dict[str, Coded] = {}
         self.half = max(1, remembered // 2)
 
-    def piece(self, data: bytes) -> list[int]:
-        """Ids of one piece of text."""
-        whole = self.ranks.get(data)
-        if whole is not None:
-            return [whole]
-        symbols = self.symbols
-        ids = [symbols[b] for b in data]
-        count, queue, merge_rank = len(ids), self.queue, self.pairs.get
-        push, pop = queue.push, queue.pop
-        after, before = [*range(1, count), -1], list(range(-1, count - 1))
+    def pieces(self, parts: list[bytes]) -> list[list[int]]:
+        """Ids of each piece. All pieces share the queue, each has a list of its own."""
+        symbols, pairs, queue = self.symbols, self.pairs.get, self.queue
+        ids = [symbols[b] for b in b"".join(parts)]
+        ends = list(accumulate(map(len, parts)))
+        after, before = list(range(1, len(ids) + 1)), list(range(-1, len(ids) - 1))
         # Rank of the pair that begins at each position, None where there is none.
-        ranked = [merge_rank(pair) for pair in zip(ids, ids[1:])]
+        ranked = [pairs(pair) for pair in zip(ids, ids[1:])]
         ranked.append(None)
+        for end in ends:
+            after[end - 1] = -1
+            ranked[end - 1] = None
+            if end < len(ids):
+                before[end] = -1
+        buckets, push, pop = queue.buckets, queue.push, queue.pop
         for i, rank in enumerate(ranked):
             if rank is not None:
-                push(rank, i)
+                if buckets[rank]:
+                    buckets[rank].append(i)
+                else:
+                    push(rank, i)
         while queue.top:
             rank, positions = pop()
-            for left in positions:
+            for place, left in enumerate(positions, 1):
                 # Stale: a symbol here was merged since, and the pair is another now.
                 if ranked[left] != rank:
                     continue
                 right = after[left]
                 ids[left], ids[right] = rank, -1
                 ranked[left] = ranked[right] = None
+                lower = False
                 following = after[left] = after[right]
                 if following >= 0:
                     before[following] = left
-                    ranked[left] = new = merge_rank((rank, ids[following]))
+                    ranked[left] = new = pairs((rank, ids[following]))
                     if new is not None:
-                        push(new, left)
+                        lower = new < rank
+                        if buckets[new]:
+                            buckets[new].append(left)
+                        else:
+                            push(new, left)
                 previous = before[left]
                 if previous >= 0:
-                    ranked[previous] = new = merge_rank((ids[previous], rank))
+                    ranked[previous] = new = pairs((ids[previous], rank))
                     if new is not None:
-                        push(new, previous)
-        return [i for i in ids if i >= 0]
-
-    def chunk(self, text: str) -> Coded:
-        """A stretch that begins and ends at a piece's border."""
-        found = self.young.get(text) or self.old.get(text)
-        if found is None:
-            parts = self.split.findall(text)
-            if len(parts) == 1:
-                found = self.coded(self.piece(text.encode()))
+                        lower = lower or new < rank
+                        if buckets[new]:
+                            buckets[new].append(previous)
+                        else:
+                            push(new, previous)
+                if lower:
+                    # A pair that comes before this rank: the others of this rank wait.
+                    for waiting in positions[place:]:
+                        push(rank, waiting)
+                    break
+        starts = [0, *ends]
+        return [[i for i in ids[a:b] if i >= 0] for a, b in zip(starts, ends)]
+
+    def code(self, texts: list[str]) -> list[list[Coded]]:
+        """Each text, stretch by stretch. What is not remembered yet is merged together."""
+        stretches = [self._chunks(text) for text in texts]
+        fresh: dict[str, Coded] = {}
+        split: dict[str, list[str]] = {}
+        for stretch in set().union(*stretches).difference(self.young):
+            found = self.old.get(stretch)
+            if found is None:
+                split[stretch] = self.split.findall(stretch)
             else:
-                coded = list(map(self.remembered, parts))
-                found = self.coded(list(chain.from_iterable(c[0] for c in coded)))
-        return self.remember(text, found)
-
-    def remembered(self, piece: str) -> Coded:
-        found = self.young.get(piece) or self.old.get(piece)
-        if found is None:
-            found = self.coded(self.piece(piece.encode()))
-        return self.remember(piece, found)
+                fresh[stretch] = found
+        self._merge({part for parts in split.values() for part in parts}, fresh)
+        for stretch, parts in split.items():
+            if stretch not in fresh:
+                fresh[stretch] = self.coded(chain.from_iterable(
+                    (fresh.get(part) or self.young[part])[0] for part in parts))
+        known = self.young.get
+        coded = [[known(s) or fresh[s] for s in parts] for parts in stretches]
+        for stretch, code in fresh.items():
+            if len(stretch) <= _REMEMBERED_LENGTH:
+                if len(self.young) >= self.half:
+                    self.old, self.young = self.young, {}
+                self.young[stretch] = code
+        return coded
+
+    def _merge(self, parts: set[str], fresh: dict[str, Coded]) -> None:
+        """Adds the pieces that are in neither table to ``fresh``."""
+        names, open_parts = [], []
+        for part in parts.difference(self.young, fresh):
+            data = part.encode()
+            found = self.old.get(part)
+            whole = self.ranks.get(data)
+            if found is not None:
+                fresh[part] = found
+            elif whole is not None:
+                fresh[part] = self.coded((whole,))
+            else:
+                names.append(part)
+                open_parts.append(data)
+        for part, ids in zip(names, self.pieces(open_parts)):
+            fresh[part] = self.coded(ids)
 
-    def coded(self, ids: list[int]) -> Coded:
+    def coded(self, ids: Iterable[int]) -> Coded:
         """Ids with their text form and the bytes that they decode to."""
-        return tuple(ids), ",".join(map(str, ids)), self.decode(ids)
-
-    def remember(self, text: str, found: Coded) -> Coded:
-        if len(text) <= _REMEMBERED_LENGTH and text not in self.young:
-            if len(self.young) >= self.half:
-                self.old, self.young = self.young, {}
-            self.young[text] = found
-        return found
-
-    def code(self, text: str) -> list[Coded]:
-        """The whole text, stretch by stretch."""
-        known, chunk = self.young.get, self.chunk
-        return [known(part) or chunk(part) for part in self._chunks(text)]
+        ids = tuple(ids)
+        return ids, ",".join(map(str, ids)), self.decode(ids)
 
     def encode(self, text: str) -> list[int]:
-        return list(chain.from_iterable([c[0] for c in self.code(text)]))
+        return list(chain.from_iterable([c[0] for c in self.code([text])[0]]))
 
     def _chunks(self, text: str):
         """A space between two characters that are not blank always starts a
@@ -185,7 +220,7 @@ class RankCodec:
         spaced = [" " + word for word in rest]
         return [first, *spaced] if first else spaced
 
-    def decode(self, ids: list[int]) -> bytes:
+    def decode(self, ids: Iterable[int]) -> bytes:
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
@@ -200,6 +235,20 @@ _CROWDED = regex.compile(r"[ ]\s|\s[ ]")
 _LONE_SPACE = regex.compile(r"(?<=\S)(?=[ ]\S)")
 
 
+def _groups(whole_texts: list[str]) -> Iterator[list[str]]:
+    """Texts in order, a million characters at a time and at least one text."""
+    group: list[str] = []
+    length = 0
+    for text in whole_texts:
+        if group and length + len(text) > 1_000_000:
+            yield group
+            group, length = [], 0
+        group.append(text)
+        length += len(text)
+    if group:
+        yield group
+
+
 def encode_decode(docs: DataFrame, ranks: str, pattern: str,
                   columns: tuple[str, ...] = tuple(COLUMNS)) -> DataFrame:
     """Ids of each document's whole text, the bytes they decode to, and digests of both.
@@ -211,8 +260,7 @@ def encode_decode(docs: DataFrame, ranks: str, pattern: str,
     def make():
         codec = codec_for(ranks, pattern)
 
-        def one(text: str) -> dict:
-            coded = codec.code(text)
+        def one(coded: list[Coded]) -> dict:
             decoded = b"".join([c[2] for c in coded])
             row = {
                 "n_tokens": sum([len(c[0]) for c in coded]),
@@ -225,7 +273,7 @@ def encode_decode(docs: DataFrame, ranks: str, pattern: str,
             return row
 
         def step(batch):
-            rows = [one(t) for t in texts(batch)]
+            rows = [one(coded) for group in _groups(texts(batch)) for coded in codec.code(group)]
             return {name: batch.column("doc_id") if name == "doc_id" else [r[name] for r in rows]
                     for name in columns}
         return step
