@@ -14,7 +14,6 @@ so that one pop serves many of them.
 from __future__ import annotations
 
 import base64
-import functools
 import hashlib
 from collections.abc import Iterable, Iterator
 from itertools import accumulate, chain
@@ -22,7 +21,7 @@ from itertools import accumulate, chain
 import regex
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import per_batch, texts
+from millrace.llm.common import held, per_batch, texts
 
 COLUMNS = {
     "doc_id": "bigint", "n_tokens": "bigint", "ids": "array<int>", "ids_sha256": "string",
@@ -224,10 +223,13 @@ class RankCodec:
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
-@functools.cache
 def codec_for(ranks: str, pattern: str) -> RankCodec:
-    """One codec per vocabulary and worker process."""
-    return RankCodec(ranks, pattern)
+    """One codec per vocabulary and worker process, until the worker turns to other work."""
+    return held(_key(ranks, pattern), lambda: RankCodec(ranks, pattern))
+
+
+def _key(ranks: str, pattern: str) -> tuple:
+    return "byte_bpe", ranks, pattern
 
 
 #: A blank beside a space: there a space need not start a piece.
@@ -279,7 +281,7 @@ def encode_decode(docs: DataFrame, ranks: str, pattern: str,
         return step
 
     schema = ", ".join(f"{name} {COLUMNS[name]}" for name in columns)
-    return per_batch(docs.select("doc_id", "text"), schema, make)
+    return per_batch(docs.select("doc_id", "text"), schema, make, holds=_key(ranks, pattern))
 
 
 def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:

@@ -37,17 +37,37 @@ def crc_remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % divisor
 
 
+#: What this worker process keeps from one task to the next.
+_HELD: dict[tuple, object] = {}
+
+
+def held(key: tuple, make: Callable[[], object]) -> object:
+    """The object of ``key``, made once per worker process."""
+    if key not in _HELD:
+        _HELD[key] = make()
+    return _HELD[key]
+
+
+def hold_only(key: tuple | None) -> None:
+    """Lets go of what earlier tasks held under other keys: workers outlive their stage."""
+    for other in [k for k in _HELD if k != key]:
+        del _HELD[other]
+
+
 def per_batch(
     df: DataFrame,
     schema: str,
     make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict] | dict]],
+    holds: tuple | None = None,
 ) -> DataFrame:
     """Run Python over Arrow batches of ``df``.
 
     ``make`` is called once per task and returns a function from a batch to
-    the columns of the result, as a dict or as an iterator of dicts.
+    the columns of the result, as a dict or as an iterator of dicts. ``holds``
+    is the key of what it keeps in the worker by :func:`held`.
     """
     def run(batches):
+        hold_only(holds)
         step = make()
         for batch in batches:
             made = step(batch)
