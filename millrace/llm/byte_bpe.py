@@ -275,9 +275,13 @@ def encode_decode(docs: DataFrame, ranks: str, pattern: str,
             return row
 
         def step(batch):
-            rows = [one(coded) for group in _groups(texts(batch)) for coded in codec.code(group)]
-            return {name: batch.column("doc_id") if name == "doc_id" else [r[name] for r in rows]
-                    for name in columns}
+            done = 0
+            for group in _groups(texts(batch)):
+                rows = [one(coded) for coded in codec.code(group)]
+                ids = batch.column("doc_id").slice(done, len(rows))
+                done += len(rows)
+                yield {name: ids if name == "doc_id" else [r[name] for r in rows]
+                       for name in columns}
         return step
 
     schema = ", ".join(f"{name} {COLUMNS[name]}" for name in columns)
