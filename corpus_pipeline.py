@@ -15,6 +15,8 @@ from millrace.llm import byte_bpe, minhash, mixing, quality_rules, secret_scan
 from millrace.llm.common import table, written
 from millrace.llm.queries import ENCODING_RANKS
 
+#: Pieces that an encoding worker keeps; it shares its memory with what earlier stages left.
+REMEMBERED = 300_000
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -44,7 +46,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     return byte_bpe.encode_decode(
         docs, public_tokenizers.path(ENCODING_RANKS), public_tokenizers.PATTERN,
-        ("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"))
+        ("doc_id", "n_tokens", "ids", "ids_sha256", "decoded_sha256"), REMEMBERED)
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [

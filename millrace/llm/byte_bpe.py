@@ -28,6 +28,8 @@ COLUMNS = {
     "decoded": "binary", "decoded_sha256": "string",
 }
 _REMEMBERED_LENGTH = 64
+#: Pieces that a codec keeps with their ids.
+REMEMBERED = 600_000
 
 
 _WIDTH = 256
@@ -77,7 +79,7 @@ Coded = tuple[tuple[int, ...], str, bytes]
 class RankCodec:
     """Encoder and decoder for a file of base64 byte strings and their ranks."""
 
-    def __init__(self, path: str, pattern: str, remembered: int = 600_000):
+    def __init__(self, path: str, pattern: str, remembered: int = REMEMBERED):
         self.ranks: dict[bytes, int] = {}
         with open(path, "rb") as file:
             for line in file:
@@ -223,13 +225,13 @@ class RankCodec:
         return b"".join(map(self.bytes.__getitem__, ids))
 
 
-def codec_for(ranks: str, pattern: str) -> RankCodec:
+def codec_for(ranks: str, pattern: str, remembered: int) -> RankCodec:
     """One codec per vocabulary and worker process, until the worker turns to other work."""
-    return held(_key(ranks, pattern), lambda: RankCodec(ranks, pattern))
+    return held(_key(ranks, pattern, remembered), lambda: RankCodec(ranks, pattern, remembered))
 
 
-def _key(ranks: str, pattern: str) -> tuple:
-    return "byte_bpe", ranks, pattern
+def _key(ranks: str, pattern: str, remembered: int) -> tuple:
+    return "byte_bpe", ranks, pattern, remembered
 
 
 #: A blank beside a space: there a space need not start a piece.
@@ -252,15 +254,17 @@ def _groups(whole_texts: list[str]) -> Iterator[list[str]]:
 
 
 def encode_decode(docs: DataFrame, ranks: str, pattern: str,
-                  columns: tuple[str, ...] = tuple(COLUMNS)) -> DataFrame:
+                  columns: tuple[str, ...] = tuple(COLUMNS),
+                  remembered: int = REMEMBERED) -> DataFrame:
     """Ids of each document's whole text, the bytes they decode to, and digests of both.
 
     NULL and empty texts have no ids and no bytes. Every row of ``docs`` gives
     one row, repeated and NULL ids included; other columns are left out. Only
-    ``columns`` leave the task.
+    ``columns`` leave the task. ``remembered`` bounds the pieces that a worker keeps
+    with their ids, some 400 bytes each; others are merged again when they come up.
     """
     def make():
-        codec = codec_for(ranks, pattern)
+        codec = codec_for(ranks, pattern, remembered)
 
         def one(coded: list[Coded]) -> dict:
             decoded = b"".join([c[2] for c in coded])
@@ -285,7 +289,8 @@ def encode_decode(docs: DataFrame, ranks: str, pattern: str,
         return step
 
     schema = ", ".join(f"{name} {COLUMNS[name]}" for name in columns)
-    return per_batch(docs.select("doc_id", "text"), schema, make, holds=_key(ranks, pattern))
+    return per_batch(docs.select("doc_id", "text"), schema, make,
+                     holds=_key(ranks, pattern, remembered))
 
 
 def digests(docs: DataFrame, ranks: str, pattern: str) -> DataFrame:

@@ -52,6 +52,7 @@ def hold_only(key: tuple | None) -> None:
     """Lets go of what earlier tasks held under other keys: workers outlive their stage."""
     for other in [k for k in _HELD if k != key]:
         del _HELD[other]
+    pa.default_memory_pool().release_unused()
 
 
 def per_batch(

@@ -49,7 +49,7 @@ def public():
 @given(TRICKY)
 def test_counts_and_ids_equal_the_libraries(public, text):
     counter = token_count.counter_for(P.path("byte_bpe_50k.json"))
-    codec = byte_bpe.codec_for(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    codec = byte_bpe.codec_for(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, byte_bpe.REMEMBERED)
     assert counter.count(text) == len(public[0].encode(text, add_special_tokens=False).ids)
     ids = codec.encode(text)
     assert ids == public[1].encode_ordinary(text)
@@ -58,7 +58,7 @@ def test_counts_and_ids_equal_the_libraries(public, text):
 
 def test_very_long_pieces(public):
     counter = token_count.counter_for(P.path("byte_bpe_50k.json"))
-    codec = byte_bpe.codec_for(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN)
+    codec = byte_bpe.codec_for(P.path("byte_bpe_multi_50k.tiktoken"), P.PATTERN, byte_bpe.REMEMBERED)
     for text in ("a" * 20_000, "ab" * 10_000, " " * 5_000 + "x", "é" * 5_000, "abcdefg" * 3_000):
         assert counter.count(text) == len(public[0].encode(text, add_special_tokens=False).ids)
         assert codec.encode(text) == public[1].encode_ordinary(text)
