@@ -1,8 +1,9 @@
 """Secret scans: wide candidate patterns, and a random forest that removes false positives.
 
-A candidate is a long run of key characters. The forest sees its length, its
-character transitions, how far words of the corpus cover it, whether it looks
-like a path, and the words beside it. It is trained on labelled findings and runs
+A candidate is a long run of key characters, the value after a name that announces
+a secret, whatever its length and characters, or an assigned value. The forest sees its
+length, its character transitions, how far words of the corpus cover it, whether it
+looks like a path, and the words beside it. It is trained on labelled findings and runs
 as a column expression. DataFrame functions only; training takes a bounded
 sample of findings to the driver.
 """
@@ -18,18 +19,47 @@ from pyspark.sql import functions as F
 from millrace.llm import trees
 from millrace.llm.common import written
 
-#: A candidate: at least 16 key characters in a row.
-RUN = r"[A-Za-z0-9+/_\-]{16,}={0,2}"
 CONTEXT = 32
 #: Names that announce a secret.
-ANNOUNCED = (r"(?i)(password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|"
-             r"credential|private[_-]?key)[\"']?\s*[:=]\s*[\"']?$")
+NAMES = (r"password|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|auth|"
+         r"credential|private[_-]?key")
+_SIGN = r"(?::=|=>|==?|:)"
+ANNOUNCED = rf"(?i)({NAMES})[\"'`]?\s*{_SIGN}\s*[\"'`]?$"
+_KEY = r"[A-Za-z0-9+/_\-]"
+#: A candidate: at least 16 key characters in a row.
+RUN = _KEY + r"{16,}={0,2}"
+#: Between a name and its value, the opening quote left out.
+_GIVES = rf"[\"'`]?[ \t]*+{_SIGN}[ \t]*+"
+#: A candidate: the value after an announcing name, up to its closing quote, or to a blank
+#: or quote and without closing punctuation.
+_QUOTED = "|".join(rf"{q}(?!{q})[^{q}\\\r\n]*+(?:\\.[^{q}\\\r\n]*+){{0,64}}+(?={q})"
+                   for q in "\"'`")
+_END = r"(?=[\s\"'`,;.)\]}]|$)"
+_OPEN = (rf"[\"'`]?(?:(?:\$\{{[^}}\s]*\}}|\{{\{{[^}}\s]*\}}\}}|\$\([^)\s]*\)){_END}"
+         r"|[^\s\"'`]*[^\s\"'`,;.)\]}])")
+_ANNOUNCED_VALUE = (rf"{_KEY}++(?=[\"'`]?[ \t]*+[:=])(?<=(?i:{NAMES})){_GIVES}"
+                    rf"(?:{_QUOTED}|{_OPEN})")
+#: A candidate: what is assigned to any other name that is not a run with digits itself. It holds
+#: no further assignment, so that an announced value inside is found by its own name.
+_ASSIGNED_VALUE = (rf"(?:[A-Za-z_\-]++|{_KEY}{{1,15}}+)(?!{_KEY})(?:{_GIVES}(?:"
+                   + "|".join(rf"{q}[^{q}\s:=]++(?={q})" for q in "\"'`")
+                   + r")|[\"'`]?[ \t]*+(?::?=)[ \t]*+[^\s\"'`:=]++(?![:=]))")
+CANDIDATE = rf"(?<!{_KEY})(?:{_ANNOUNCED_VALUE}|{_ASSIGNED_VALUE}|{RUN})"
+#: The name, sign and quote that a candidate begins with; a run has none.
+_LEAD = rf"^{_KEY}++{_GIVES}[\"'`]?(?=.)"
+#: What stands for a value, or says that there is none.
+PLACEHOLDERS = (r"(?i)^(true|false|none|null|nil|undefined|\*+|<[^>]*>|\$\{[^}]*\}|"
+                r"\$\([^)]*\)|\{\{.*\}\})$")
+#: Formats that look random and are no secrets unless announced.
+UUID = r"^[0-9A-Fa-f]{8}(-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$"
+HASH = r"^(([0-9a-f]{32}|[0-9A-F]{32})([0-9A-Fa-f]{8}|[0-9A-Fa-f]{32}|[0-9A-Fa-f]{96})?)$"
+PATH = r"^/?([a-z0-9_.\-]+/)+[a-z0-9_.\-]*$"
 #: Formats of well-known providers.
 PROVIDERS = r"^((AKIA|ASIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36}|xox[abprs]-[A-Za-z0-9\-]{10,})$"
 REDACTED = "[SECRET]"
 
 FEATURES = ("length", "digits", "uppers", "hexadecimal", "transitions", "distinct", "vowels",
-            "covered", "path", "announced", "quoted", "assigned", "sentence")
+            "covered", "path", "announced", "quoted", "assigned", "sentence", "marks", "uuid")
 
 
 @dataclass(frozen=True)
@@ -46,14 +76,28 @@ class SecretModel:
 
 
 def candidates(text: Column) -> Column:
-    """Array of (token, before, after), in order. NULL for a NULL text."""
-    gaps = F.split(text, f"(?<![A-Za-z0-9+/_\\-]){RUN}", -1)
-    runs = F.regexp_extract_all(text, F.lit(f"(?<![A-Za-z0-9+/_\\-])({RUN})"), F.lit(1))
+    """Array of (token, before, after, lead), in order. NULL for a NULL text.
+
+    ``lead`` is the name, sign and quote that were found with the value, empty for a
+    run; the texts between candidates end before it.
+    """
+    gaps = F.split(text, CANDIDATE, -1)
+    runs = F.regexp_extract_all(text, F.lit(CANDIDATE), F.lit(0))
     # One cell, so that both arrays are made once and not once per candidate.
     cell = F.array(F.struct(runs.alias("runs"), gaps.alias("gaps")))
-    return F.transform(cell, lambda s: F.transform(s["runs"], lambda run, i: F.struct(
-        run.alias("token"), F.right(F.get(s["gaps"], i), F.lit(CONTEXT)).alias("before"),
-        F.left(F.get(s["gaps"], i + 1), F.lit(CONTEXT)).alias("after"))))[0]
+
+    def parts(s):
+        whole = F.transform(s["runs"], lambda run: F.struct(
+            run.alias("run"), F.when(run.rlike(f"^{RUN}$"), F.lit("")).otherwise(
+                F.regexp_extract(run, _LEAD, 0)).alias("lead")))
+        return F.transform(whole, lambda r, i: F.struct(
+            F.substring(r["run"], F.length(r["lead"]) + 1, F.length(r["run"])).alias("token"),
+            F.right(F.concat(F.get(s["gaps"], i), F.regexp_replace(r["lead"], r"\s+", " ")),
+                    F.lit(CONTEXT)).alias("before"),
+            F.left(F.get(s["gaps"], i + 1), F.lit(CONTEXT)).alias("after"),
+            r["lead"].alias("lead")))
+
+    return F.transform(cell, parts)[0]
 
 
 def _share(part: Column, whole: Column) -> Column:
@@ -80,18 +124,24 @@ def features(token: Column, before: Column, after: Column, words: tuple[str, ...
         "path": flag(token.contains("/") | before.rlike(r"[/.@\\]$") | after.rlike(r"^[.@/]\w")),
         "announced": flag(before.rlike(ANNOUNCED)),
         "quoted": flag(before.rlike("[\"'`]$")),
-        "assigned": flag(before.rlike(r"[:=]\s*[\"']?$")),
+        "assigned": flag(before.rlike(r"[:=]>?\s*[\"'`]?$")),
         "sentence": flag(before.rlike(r"\p{L}[,.]?\s$") & after.rlike(r"^[,.]?\s+\p{L}")),
+        "marks": _share(count(r"[^\p{L}\p{N}\s]"), size),
+        "uuid": flag(token.rlike(UUID)),
     }
     return F.struct(*(made[name].cast("double").alias(name) for name in FEATURES))
 
 
 def weak_label(token: Column, before: Column) -> Column:
-    """1 for findings in a provider's format or announced and mixed, 0 for words and
-    numbers, NULL where the rules cannot tell."""
-    mixed = token.rlike("[0-9]") & token.rlike("[A-Za-z]")
-    return (F.when(token.rlike(PROVIDERS) | (before.rlike(ANNOUNCED) & mixed), 1)
-            .when(token.rlike("^([A-Za-z_\\-]+|[0-9]+)$"), 0))
+    """1 for findings in a provider's format or announced, 0 for placeholders, and for words,
+    numbers, hashes, UUIDs and paths that nothing announces; NULL where the rules cannot
+    tell. A hash that is given to a key of any name may be a secret."""
+    announced = before.rlike(ANNOUNCED)
+    keyed = before.rlike(rf"(?i)key[\"'`]?\s*{_SIGN}\s*[\"'`]?$")
+    return (F.when(token.rlike(PROVIDERS), 1)
+            .when(announced, F.when(token.rlike(PLACEHOLDERS), 0).otherwise(1))
+            .when(token.rlike("^([A-Za-z_\\-]+|[0-9]+)$") | token.rlike(UUID)
+                  | token.rlike(PATH) | (token.rlike(HASH) & ~keyed), 0))
 
 
 def common_words(docs: DataFrame, most: int = 400) -> tuple[str, ...]:
@@ -165,22 +215,24 @@ def redact(docs: DataFrame, model: SecretModel) -> DataFrame:
     Works within the row: no join, so repeated and NULL ids need no care.
     """
     cells = F.transform("_c", lambda c: F.struct(
-        c["token"].alias("token"), weak_label(c["token"], c["before"]).alias("label"),
+        c["lead"].alias("lead"), c["token"].alias("token"), weak_label(c["token"], c["before"]).alias("label"),
         features(c["token"], c["before"], c["after"], model.words).alias("f")))
-    shown = F.transform("_f", lambda c: F.when(
-        _score(model, c["f"], c["label"]) >= model.threshold, REDACTED).otherwise(c["token"]))
-    gaps = F.split("text", f"(?<![A-Za-z0-9+/_\\-]){RUN}", -1)
+    shown = F.transform("_f", lambda c: F.struct(c["lead"].alias("lead"), F.when(
+        _score(model, c["f"], c["label"]) >= model.threshold, REDACTED).otherwise(
+        c["token"]).alias("token")))
+    gaps = F.split("text", CANDIDATE, -1)
     rebuilt = F.array_join(F.transform(gaps, lambda gap, i: F.concat(
-        gap, F.coalesce(F.get(F.col("_s"), i), F.lit("")))), "")
+        gap, F.coalesce(F.get(F.col("_s"), i)["lead"], F.lit("")),
+        F.coalesce(F.get(F.col("_s"), i)["token"], F.lit("")))), "")
     out = (
         docs.withColumn("_c", candidates(F.col("text"))).withColumn("_f", cells)
         .withColumn("_s", shown)
-        .withColumn("text", F.when(F.array_contains("_s", REDACTED), rebuilt)
+        .withColumn("text", F.when(F.array_contains("_s.token", REDACTED), rebuilt)
                     .otherwise(F.col("text")))
     )
     if "n_chars" in docs.columns:
         out = out.withColumn("n_chars", F.when(
-            F.array_contains("_s", REDACTED), F.length("text").cast("bigint"))
+            F.array_contains("_s.token", REDACTED), F.length("text").cast("bigint"))
             .otherwise(F.col("n_chars")))
     return out.select(docs.columns)
 

@@ -384,6 +384,59 @@ def test_secrets_are_found_and_words_are_not(spark):
             assert clean[d] == before[d].replace(secret, secret_scan.REDACTED)
 
 
+def announced_docs(spark, n=400):
+    """Announced values that are short or broken by marks, and random looking strings that
+    nothing announces."""
+    rng = np.random.default_rng(9)
+    draw = lambda letters, k: "".join(rng.choice(list(letters), k))
+    hexa = lambda k: draw("0123456789abcdef", k)
+    rows, planted, harmless = [], {}, {}
+    for i in range(n):
+        prose = " ".join(draw("abcdefghij", 5) for _ in range(20))
+        low = draw("abcdefghijkmnpqrstuvw", 5)
+        value = [f"{low}2x9", f"Tr0{low}&3!xy", low + draw("aeiou", 4), f"{low}.4@{low}$7"][i % 4]
+        told = [f'password = "{value}"', f"pwd: {value}", f"db2_eu_west_1_passwd={value},",
+                f"{{'api_key': '{value}'}}"][i // 4 % 4]
+        plain = [hexa(40), f"{hexa(8)}-{hexa(4)}-{hexa(4)}-{hexa(4)}-{hexa(12)}",
+                 f"usr/lib{rng.integers(10)}/{draw('abcdefgh', 8)}/v{rng.integers(99)}.so",
+                 hexa(64)][i % 4]
+        rows.append((i, f"{prose} {told} {prose} {plain} {prose}"))
+        planted[i], harmless[i] = value, plain
+    return spark.createDataFrame(rows, "doc_id long, text string"), planted, harmless
+
+
+def test_announced_values_of_any_form_are_found(spark):
+    docs, planted, harmless = announced_docs(spark)
+    model = secret_scan.fit(docs.where("doc_id < 200"))
+    judged = docs.where("doc_id >= 200")
+    found = {(r.doc_id, r.token_sha256): r.is_secret for r in secret_scan.scan(judged, model).collect()}
+    for d in range(200, 400):
+        assert found[d, hashlib.sha256(planted[d].encode()).hexdigest()], planted[d]
+        assert not found.get((d, hashlib.sha256(harmless[d].encode()).hexdigest())), harmless[d]
+    before = {r.doc_id: r.text for r in judged.collect()}
+    for r in secret_scan.redact(judged, model).collect():
+        assert r.text == before[r.doc_id].replace(planted[r.doc_id], secret_scan.REDACTED)
+
+
+@pytest.mark.parametrize("text, want", [
+    ('password = "hunter2x9"', [("hunter2x9", 1)]),
+    ("pwd: Tr0ub4dor&3!xy.", [("Tr0ub4dor&3!xy", 1)]),
+    ('{"token":"a b\\"c!d","n":1}', [('a b\\"c!d', 1)]),
+    ("u?user=bob&password=hunter2x9 on", [("hunter2x9", 1)]),
+    ("aws_secret_access_key=wJalrXUtnFEMI/K7MDENG/bPx", [("wJalrXUtnFEMI/K7MDENG/bPx", 1)]),
+    ("passwd='open and left", [("open", 1)]),
+    ("token: null password=${DB_PASS}", [("null", 0), ("${DB_PASS}", 0)]),
+    ("conn = 'x9!y8' and DSN=q7.w8", [("x9!y8", None), ("q7.w8", None)]),
+    ("the password, and nothing: else", []),
+    ("abcdefghijklmnop0token==", [("abcdefghijklmnop0token==", None)]),
+])
+def test_candidates_and_their_labels(spark, text, want):
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    got = docs.select(F.explode(secret_scan.candidates(F.col("text"))).alias("c")).select(
+        "c.token", secret_scan.weak_label(F.col("c.token"), F.col("c.before")))
+    assert [tuple(r) for r in got.collect()] == want
+
+
 def test_secret_scan_is_native(spark):
     docs, _ = secret_docs(spark, 60)
     model = secret_scan.fit(docs)
