@@ -499,6 +499,15 @@ ORACLE["stream_watermark_dedup"] = """SELECT DISTINCT CAST(o_orderkey AS VARCHAR
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 JOIN customer ON o_custkey = c_custkey JOIN part ON l_partkey = p_partkey"""
 
+ORACLE["stream_late_side_output"] = f"""WITH {_EV}, sent AS (
+  SELECT order_id, (shuffled_batch_id - 1) // 3 AS arrival, 60 * arrival
+    - CASE WHEN arrival > 0 AND order_id % 5 = 0 THEN 10800 ELSE 0 END AS sent_at FROM ev), marks AS (
+  SELECT arrival, max(max(sent_at)) OVER (ORDER BY arrival
+    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - 3600 AS mark FROM sent GROUP BY arrival),
+told AS (SELECT order_id, coalesce(sent_at <= mark, false) AS is_late FROM sent JOIN marks USING (arrival))
+SELECT CAST(order_id AS VARCHAR) AS order_id, CAST(is_late AS VARCHAR) AS is_late,
+  CASE WHEN is_late THEN count(*) ELSE 1 END AS messages FROM told GROUP BY order_id, is_late"""
+
 ORACLE["normalize_status"] = """WITH raw AS (
   SELECT ['created', 'approved', 'invoiced', 'processing', 'shipped', 'delivered',
     'unavailable', 'canceled', 'lost'][o_orderkey % 9 + 1] AS raw_status FROM orders)

@@ -26,7 +26,9 @@ from millrace.sources import catalog, changelog
 from millrace.sources.envelope import append_envelope_batch, file_stream, to_messages
 from millrace.sources.tables import read_csv, read_layer, read_metrics
 from millrace.streaming.console import console_views
-from millrace.streaming.late import dedup_within_watermark
+from millrace.streaming.late import (
+    dedup_within_watermark, late_rows, split_late, unique_on_time,
+)
 from millrace.streaming.medallion import (
     SILVER_VERSIONING, BatchWriter, Layers, start_ingest, stored_metrics, write_layer,
 )
@@ -787,6 +789,28 @@ def stream_watermark_dedup(spark, sf):
     return _to_files(unique.select("order_id"), spark, "unique")
 
 
+@register
+def stream_late_side_output(spark, sf):
+    """Every fifth order's messages after the first arrival are three hours old: they are all in
+    the side output, first sightings or not; the others are there once per order."""
+    path, root = scratch_dir(spark, "wire"), scratch_dir(spark, "late")
+    messages = _messages(spark, sf)
+    arrival = F.expr("(shuffled_batch_id - 1) div 3")
+    for number in (0, 1, 2):
+        old = (F.lit(number) > 0) & (F.col("key").cast("bigint") % 5 == 0)
+        append_envelope_batch(
+            messages.where(arrival == number).withColumn("timestamp", F.timestamp_seconds(
+                F.lit(1_700_000_000 + 60 * number) - F.when(old, 10_800).otherwise(0))),
+            path, _files(spark))
+    parsed = parse_events(file_stream(spark, path, _files(spark))).where("order_id IS NOT NULL")
+    sent = parsed.select("order_id", "kafka_ts")
+    split_late(sent, root).option("checkpointLocation", f"{root}/checkpoint").trigger(
+        availableNow=True).start().awaitTermination()
+    unique = _to_files(unique_on_time(spark, root, sent.schema, ["order_id"]), spark, "unique")
+    return unique.unionByName(late_rows(spark, root, sent.schema)).groupBy("order_id", "is_late").agg(
+        F.count(F.lit(1)).alias("messages"))
+
+
 @register
 def late_event_split(spark, sf):
     """Every 50th user event arrives 36 hours after it happened."""

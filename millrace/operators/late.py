@@ -2,10 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 
+def behind(event_time: Column | str, watermark: Column) -> Column:
+    """Whether a row is behind the watermark; a row at it is, one without a time is not."""
+    time = F.col(event_time) if isinstance(event_time, str) else event_time
+    return F.coalesce(time <= watermark, F.lit(False))
+
+
 def with_lateness(events: DataFrame, batch: str, event_time: str, allowed: str) -> DataFrame:
     """Add the watermark of each row's batch and whether the row is behind it.
 
@@ -20,8 +26,8 @@ def with_lateness(events: DataFrame, batch: str, event_time: str, allowed: str)
     marks = newest.select(
         batch, (F.max("_newest").over(earlier) - F.expr(f"INTERVAL {allowed}")).alias("watermark")
     )
-    behind = F.coalesce(F.col(event_time) <= F.col("watermark"), F.lit(False))
-    return events.join(marks, batch, "left").withColumn("is_late", behind)
+    return events.join(marks, batch, "left").withColumn(
+        "is_late", behind(event_time, F.col("watermark")))
 
 
 def split_late(events: DataFrame, batch: str, event_time: str, allowed: str = "1 hour"):

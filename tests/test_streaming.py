@@ -171,6 +171,44 @@ def test_dedup_within_watermark(spark, tmp_path):
     assert sorted(got) == ["a", "b", "c", "d", "e", "f"]
 
 
+def test_first_sightings_behind_the_watermark_are_kept(spark, tmp_path):
+    """Late by more than an hour: a new key, a repeat, and one exactly at the watermark."""
+    path, root, hour = str(tmp_path / "wire"), str(tmp_path / "late"), 3600
+    batches = [[("a", 0), ("a", 5), ("b", None)], [("a", 9 * hour), ("c", 8 * hour)],
+               [("d", 7 * hour), ("a", hour), ("e", 8 * hour), ("f", 8 * hour + 1), ("c", 9 * hour)],
+               [("d", 9 * hour), ("g", 0), ("g", 0)]]
+    for number, rows in enumerate(batches):
+        spark.createDataFrame(
+            [(k, None if t is None else 1_700_000_000 + t) for k, t in rows], "k string, s long"
+        ).select("k", F.timestamp_seconds("s").alias("t")).coalesce(1).write.mode("append").parquet(path)
+    events = spark.readStream.schema("k string, t timestamp").option(
+        "maxFilesPerTrigger", 1).parquet(path)
+    late.split_late(events, root, "t").option("checkpointLocation", str(tmp_path / "cp1")).trigger(
+        availableNow=True).start().awaitTermination()
+    side = [r.k for r in late.late_rows(spark, root, events.schema).collect()]
+    assert sorted(side) == ["a", "d", "e", "g", "g"]
+    query = late.unique_on_time(spark, root, events.schema, ["k"]).writeStream.format(
+        "memory").queryName("unique_on_time").option(
+        "checkpointLocation", str(tmp_path / "cp2")).trigger(availableNow=True).start()
+    query.awaitTermination()
+    got = [r.k for r in spark.table("unique_on_time").collect()]
+    assert sorted(got) == ["a", "b", "c", "d", "f"]
+
+
+def test_late_side_output_equals_sql(spark):
+    import duckdb
+    from check_oracle import compare
+    from millrace.checks.oracle import ORACLE
+    from millrace.checks.queries import REGISTRY
+    folder, db = "/root/testdata/sf0.001", duckdb.connect()
+    for table in ("lineitem", "orders", "customer", "part"):
+        db.execute(f"CREATE VIEW {table} AS SELECT * FROM '{folder}/{table}.parquet'")
+    name = "stream_late_side_output"
+    assert ", true" in str(db.execute(ORACLE[name]).fetchall()).replace("'", "")
+    line = compare(spark, db, name, REGISTRY[name], ORACLE[name], folder)
+    assert line.startswith("equal"), line
+
+
 def test_second_checkpoint_cannot_replace_batches(spark, tmp_path):
     path, layers = str(tmp_path / "wire"), Layers(str(tmp_path / "lake"))
     send(spark, path, 0)
