@@ -30,9 +30,12 @@ END = b""
 @dataclass(frozen=True)
 class HmmConf:
     """``frequent``: words with a class of their own. ``shapes``: classes of the others.
-    ``warm_docs``: documents (least hash of the id) whose first passes give the start;
-    ``passes``: passes over all training texts after that. ``smoothing``: how many
-    tokens of the corpus mean each state is given."""
+    ``warm_passes`` and ``passes``: together, the most passes, all of them over all
+    training texts; they end when one gains less than ``settled`` nats a token.
+    ``warm_docs`` has no effect: no step looks at some documents only. ``smoothing``:
+    how many tokens of the corpus mean each state is given. ``kinds`` and ``profile``:
+    texts are grouped by the one of so many frequent words that marks them most, and
+    compared by so many sums of classes."""
 
     states: int = 6
     frequent: int = 49_152
@@ -42,6 +45,9 @@ class HmmConf:
     passes: int = 2
     smoothing: float = 200.0
     seed: int = 1
+    settled: float = 0.005
+    kinds: int = 2048
+    profile: int = 128
 
 
 def words_of(text: str) -> list[bytes]:
@@ -173,11 +179,12 @@ class Hmm:
 
 @dataclass
 class Expected:
-    """Expected counts, which add up over documents and tasks."""
+    """Expected counts and the log likelihood, which add up over documents and tasks."""
 
     start: np.ndarray
     moves: np.ndarray
     emits: np.ndarray
+    likelihood: float = 0.0
 
 
 class _TimeMajor:
@@ -226,7 +233,8 @@ def expect(model: Hmm, packed: _TimeMajor, into: Expected) -> None:
     """Add the expected counts of some documents: one forward and one backward pass."""
     if not len(packed.codes):
         return
-    alpha, scale, _ = forward(model, packed)
+    alpha, scale, likelihood = forward(model, packed)
+    into.likelihood += float(likelihood.sum())
     gamma = np.empty_like(alpha)
     emits = model.emits[packed.codes]
     steps, active = len(packed.active), packed.active.tolist()
@@ -271,53 +279,85 @@ def _groups(docs: list[np.ndarray], most_tokens: int = 400_000):
         yield run
 
 
-def warm_start(docs: list[np.ndarray], mean: np.ndarray, conf: HmmConf) -> Hmm:
-    """A start from a few documents: states begin as documents far apart, to which the
-    others are assigned, and pass over the documents some times."""
-    sketch = np.zeros((len(docs), 4096))
+def _codes(batch: pa.RecordBatch) -> list[np.ndarray]:
+    return [np.frombuffer(c, np.int32) for c in batch.column("codes").to_pylist()]
+
+
+def _profiles(docs: list[np.ndarray], conf: HmmConf) -> np.ndarray:
+    """Sums of classes of each document."""
+    out = np.zeros((len(docs), conf.profile))
     for i, d in enumerate(docs):
-        np.add.at(sketch[i], d % 4096, 1.0)
-    sketch = np.sqrt(sketch)
-    sketch /= np.maximum(np.linalg.norm(sketch, axis=1, keepdims=True), 1e-9)
-    lengths = np.array([len(d) for d in docs])
-    nearest, seeds = np.where(lengths >= 30, 0.0, 2.0), []
-    for _ in range(min(conf.states, len(docs))):
-        seeds.append(int(np.argmin(nearest)) if seeds else int(np.argmax(lengths)))
-        nearest = np.maximum(nearest, sketch @ sketch[seeds[-1]])
-    begin = _nothing(conf, len(mean))
-    begin.moves += np.eye(conf.states) * 50
-    for d, home in zip(docs, np.argmax(sketch @ sketch[seeds].T, 1) if seeds else []):
-        begin.emits[:, home] += np.bincount(d, minlength=len(mean))
-    noise = np.random.default_rng(conf.seed).random((len(mean), conf.states))
-    begin.emits += noise * mean[:, None] * 10
-    model = _maximise(begin, mean, conf)
-    for _ in range(conf.warm_passes):
-        found = _nothing(conf, len(mean))
-        for run in _groups(docs):
-            expect(model, _TimeMajor([docs[i] for i in run]), found)
-        model = _maximise(found, mean, conf)
-    return model
+        out[i] = np.bincount(d % conf.profile, minlength=conf.profile)
+    return out
 
 
-def _codes(batch: pa.RecordBatch) -> list[np.ndarray]:
-    return [np.frombuffer(c, np.int32) for c in batch.column("codes").to_pylist()]
+def _directions(profiles: np.ndarray) -> np.ndarray:
+    roots = np.sqrt(profiles)
+    return roots / np.maximum(np.linalg.norm(roots, axis=1, keepdims=True), 1e-9)
 
 
-def one_pass(encoded: DataFrame, model: Hmm, conf: HmmConf) -> Expected:
-    """Expected counts over all training texts: summed in each task, then by class."""
-    held = encoded.sparkSession.sparkContext.broadcast(model)
-    k, classes = conf.states, len(model.emits)
+def kind_of(codes: np.ndarray, mean: np.ndarray, most: int) -> int:
+    """The frequent word that a document has more of than the corpus by the most
+    information; -1 if it has none. The end (class 0) marks nothing."""
+    own, n = np.unique(codes[(codes > 0) & (codes < most)], return_counts=True)
+    gain = n * np.log(n / (len(codes) * mean[own]))
+    return int(own[np.argmax(gain)]) if len(own) and gain.max() > 0 else -1
+
+
+def seeds(encoded: DataFrame, mean: np.ndarray, first: int, conf: HmmConf) -> np.ndarray:
+    """Profiles of kinds of text far apart, one per state, of all training texts.
+
+    What comes to the driver is a sum per kind and part of the profile. Kinds of fewer
+    tokens than each state is given anyway are left to the passes.
+    """
+    most = min(conf.kinds, first)
+    held = encoded.sparkSession.sparkContext.broadcast(mean[:most])
 
     def run(batches):
-        found = _nothing(conf, classes)
+        sums: dict[int, np.ndarray] = {}
         for batch in batches:
             docs = _codes(batch)
-            for group in _groups(docs):
-                expect(held.value, _TimeMajor([docs[i] for i in group]), found)
+            for d, profile in zip(docs, _profiles(docs, conf)):
+                kind = kind_of(d, held.value, most)
+                sums[kind] = sums[kind] + profile if kind in sums else profile
+        for kind, profile in sums.items():
+            parts = np.flatnonzero(profile)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.full(len(parts), kind, np.int64)), pa.array(parts.astype(np.int64)),
+                 pa.array(profile[parts])], names=["kind", "part", "n"])
+
+    summed = encoded.where("NOT held_out").select("codes").mapInArrow(
+        run, "kind bigint, part bigint, n double").groupBy("kind", "part").agg(
+        F.sum("n").alias("n")).collect()
+    held.unpersist()
+    place = {kind: i for i, kind in enumerate(sorted({r["kind"] for r in summed}))}
+    profiles = np.zeros((len(place), conf.profile))
+    for row in summed:
+        profiles[place[row["kind"]], row["part"]] = row["n"]
+    tokens = profiles.sum(1)
+    if (tokens >= conf.smoothing).any():
+        profiles, tokens = (x[tokens >= conf.smoothing] for x in (profiles, tokens))
+    ways, chosen = _directions(profiles), []
+    nearest = np.zeros(len(ways))
+    for _ in range(min(conf.states, len(ways))):
+        chosen.append(int(np.argmin(nearest)) if chosen else int(np.argmax(tokens)))
+        nearest = np.maximum(nearest, ways @ ways[chosen[-1]])
+    return ways[chosen]
+
+
+def _summed(encoded: DataFrame, add, conf: HmmConf, classes: int) -> Expected:
+    """What ``add(docs, found)`` adds up over all training texts: in each task, then by class."""
+    k = conf.states
+
+    def run(batches):
+        found = _nothing(conf, classes)
+        for batch in batches:
+            add(_codes(batch), found)
         used = np.flatnonzero(found.emits.any(1))
-        # Classes first, then the start (-1) and the transitions (-2 and below).
-        keys = np.concatenate((used, [-1], -2 - np.arange(k)))
-        rows = np.vstack((found.emits[used], found.start, found.moves))
+        # Classes first, then the start (-1), the transitions (-2 and below) and the likelihood.
+        keys = np.concatenate((used, [-1], -2 - np.arange(k + 1)))
+        rows = np.vstack((found.emits[used], found.start, found.moves,
+                          np.full(k, found.likelihood)))
         yield pa.RecordBatch.from_arrays(
             [pa.array(keys, pa.int64()), *(pa.array(rows[:, j]) for j in range(k))],
             names=["key", *(f"s{j}" for j in range(k))])
@@ -325,7 +365,6 @@ def one_pass(encoded: DataFrame, model: Hmm, conf: HmmConf) -> Expected:
     parts = encoded.where("NOT held_out").select("codes").mapInArrow(
         run, "key bigint, " + ", ".join(f"s{j} double" for j in range(k)))
     summed = parts.groupBy("key").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(k))).collect()
-    held.unpersist()
     found = _nothing(conf, classes)
     for row in summed:
         key, values = row[0], np.array(row[1:])
@@ -333,20 +372,57 @@ def one_pass(encoded: DataFrame, model: Hmm, conf: HmmConf) -> Expected:
             found.emits[key] = values
         elif key == -1:
             found.start = values
+        elif key == -2 - k:
+            found.likelihood = float(values[0])
         else:
             found.moves[-2 - key] = values
     return found
 
 
+def one_pass(encoded: DataFrame, model: Hmm, conf: HmmConf) -> Expected:
+    """Expected counts over all training texts."""
+    held = encoded.sparkSession.sparkContext.broadcast(model)
+
+    def add(docs, found):
+        for group in _groups(docs):
+            expect(held.value, _TimeMajor([docs[i] for i in group]), found)
+
+    found = _summed(encoded, add, conf, len(model.emits))
+    held.unpersist()
+    return found
+
+
+def start_of(encoded: DataFrame, mean: np.ndarray, first: int, conf: HmmConf) -> Hmm:
+    """A start from all training texts: each goes to the state of the nearest seed."""
+    ways = seeds(encoded, mean, first, conf)
+
+    def add(docs, found):
+        if not len(docs) or not len(ways):
+            return
+        homes = np.argmax(_directions(_profiles(docs, conf)) @ ways.T, 1)
+        for home in np.unique(homes):
+            codes = np.concatenate([d for d, h in zip(docs, homes) if h == home])
+            found.emits[:, home] += np.bincount(codes, minlength=len(mean))
+
+    begin = _summed(encoded, add, conf, len(mean))
+    begin.moves += np.eye(conf.states) * 50
+    noise = np.random.default_rng(conf.seed).random((len(mean), conf.states))
+    begin.emits += noise * mean[:, None] * 10
+    return _maximise(begin, mean, conf)
+
+
 def fit(encoded: DataFrame, corpus: Corpus, conf: HmmConf) -> Hmm:
-    """Baum-Welch: a start from a bounded sample, then passes over all training texts."""
+    """Baum-Welch over all training texts, until the likelihood settles."""
     mean = np.concatenate((corpus.counts + 1.0, corpus.shape_mass))
     mean /= mean.sum()
-    sample = encoded.where("NOT held_out").orderBy(
-        F.xxhash64("doc_id"), "n_tokens", "codes").select("codes").limit(conf.warm_docs).collect()
-    model = warm_start([np.frombuffer(r["codes"], np.int32) for r in sample], mean, conf)
-    for _ in range(conf.passes):
-        model = _maximise(one_pass(encoded, model, conf), mean, conf)
+    model = start_of(encoded, mean, len(corpus.frequent), conf)
+    before = -math.inf
+    for _ in range(conf.warm_passes + conf.passes):
+        found = one_pass(encoded, model, conf)
+        model = _maximise(found, mean, conf)
+        if found.likelihood - before < conf.settled * max(corpus.tokens, 1):
+            break
+        before = found.likelihood
     return model
 
 

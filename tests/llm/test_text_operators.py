@@ -255,6 +255,25 @@ def test_classes_are_a_distribution(docs):
     assert corpus.shape_mass == pytest.approx(mass)
 
 
+def test_a_rare_kind_of_text_gets_a_state(spark):
+    """A language in 25 of 1,500 texts, none of them among the 512 with the least hash; no
+    passes but those of the start."""
+    rng = np.random.default_rng(4)
+    ids = [r.id for r in spark.range(1500).orderBy(F.xxhash64("id")).collect()]
+    rare = set(ids[-25:])
+    rows = []
+    for i in ids:
+        letter = "r" if i in rare else "ab"[i % 2]
+        rows.append((i, " ".join(f"{letter}{w}" for w in rng.integers(0, 60, 40)), False))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
+    conf = hmm.HmmConf(states=3, frequent=300, shapes=16, passes=0)
+    corpus = hmm.corpus_of(hmm.count_words(docs), conf)
+    model = hmm.fit(hmm.encode(docs, corpus, conf).cache(), corpus, conf)
+    own = [c for w, c in corpus.frequent.items() if w.startswith(b"r")]
+    assert len(own) > 50
+    assert model.emits[own].sum(0).max() > 0.5
+
+
 def test_lm_on_odd_rows(odd_docs, no_docs):
     conf = hmm.HmmConf(states=2, frequent=50, shapes=16, warm_passes=2, passes=1)
     got = hmm.score(odd_docs, conf).collect()
