@@ -1,14 +1,16 @@
 """The operators' results as DuckDB SQL, where SQL can express them.
 
 Not here: language model (3), nearest neighbours (5, approximate), forests and rule
-ensembles (6, 9), and byte-pair merges (7, 8). Those are tested against
-brute force, the public libraries or held-out labels.
+ensembles (6, 9), byte-pair merges (7, 8) and packing of token ids (13). Those are tested
+against brute force, the public libraries or held-out labels.
 """
 
 from __future__ import annotations
 
+from millrace.llm.lexical_search import Search
 from millrace.llm.mixing import Mix
 from millrace.llm.quality_rules import RATIOS
+from millrace.llm.spelling import Spelling
 from millrace.llm.url_filter import LISTED_HOSTS, RULES
 
 _BLANKS = r"[\x20\x09-\x0D]"
@@ -182,9 +184,88 @@ SELECT docs.doc_id, coalesce(sizes.n, 0) AS n_shingles, component_id,
 FROM docs JOIN least ON docs.doc_id = least.doc_id LEFT JOIN sizes ON sizes.doc_id = docs.doc_id
 """
 
+_LOWER = ("translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', "
+          "'abcdefghijklmnopqrstuvwxyz')")
+_SPELLING = Spelling()
+
+#: crc32 bit by bit, over the UTF-8 bytes of a text.
+SPELLING_VARIANTS = rf"""
+WITH RECURSIVE found AS (
+  SELECT doc_id, unnest(regexp_extract_all({_LOWER}, '[A-Za-zÀ-ÿ]{{{_SPELLING.least_length},}}')) AS run
+  FROM documents),
+runs AS (SELECT doc_id, run, count(*) AS times FROM found GROUP BY ALL),
+coded AS (SELECT *, hex(encode(concat(doc_id, ':', run))) AS code FROM runs),
+bits AS (
+  SELECT doc_id, run, times, list_transform(range(len(code) * 4), lambda k:
+    ((instr('0123456789ABCDEF', substr(code, 2 * (k // 8) + CASE WHEN k % 8 < 4 THEN 2 ELSE 1 END, 1)) - 1)
+     >> (k % 4)) & 1) AS b
+  FROM coded),
+hashed AS (
+  SELECT run, times, xor(4294967295, list_reduce(b, lambda crc, bit:
+    xor(crc >> 1, 3988292384 * (xor(crc, bit) & 1)), CAST(4294967295 AS BIGINT))) AS h
+  FROM bits),
+spelt AS (
+  SELECT times, CASE WHEN h % {_SPELLING.misspelt} = 0
+    THEN substr(run, 1, CAST(h % length(run) AS BIGINT)) || substr(run, CAST(h % length(run) AS BIGINT) + 2)
+    ELSE run END AS word
+  FROM hashed),
+words AS (
+  SELECT word, CAST(sum(times) AS BIGINT) AS n FROM spelt WHERE length(word) >= {_SPELLING.least_length}
+  GROUP BY word HAVING sum(times) >= {_SPELLING.least_count}),
+shorter AS (
+  SELECT word, n, p, substr(word, 1, p) || substr(word, p + 2) AS rest
+  FROM (SELECT word, n, unnest(range(length(word))) AS p FROM words)),
+pairs AS (
+  SELECT a.word, b.word AS other, b.n AS m FROM shorter a JOIN shorter b
+  ON a.rest = b.rest AND a.p = b.p AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM shorter a JOIN words b ON a.rest = b.word
+  UNION SELECT b.word, a.word, a.n FROM shorter a JOIN words b ON a.rest = b.word),
+near AS (
+  SELECT word, count(*) AS n_near, max(m) AS most, arg_min(other, (-m, other)) AS other
+  FROM pairs GROUP BY word),
+judged AS (
+  SELECT words.word, n, CAST(coalesce(n_near, 0) AS BIGINT) AS n_near,
+         CASE WHEN most >= {_SPELLING.factor} * n THEN other END AS form,
+         CASE WHEN most >= {_SPELLING.factor} * n THEN most END AS form_n
+  FROM words LEFT JOIN near ON words.word = near.word),
+walk(word, stop) AS (
+  SELECT word, word FROM judged
+  UNION ALL SELECT walk.word, judged.form FROM walk JOIN judged ON walk.stop = judged.word
+  WHERE judged.form IS NOT NULL)
+SELECT j.word, j.form, w.stop AS root, j.n, j.n_near, j.form_n
+FROM judged j JOIN walk w ON w.word = j.word JOIN judged e ON e.word = w.stop AND e.form IS NULL
+"""
+
+_TERMS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+
+LEXICAL_SEARCH = f"""
+WITH docs AS (SELECT row_number() OVER () AS row, doc_id, {_TERMS} AS terms FROM documents),
+held AS (SELECT *, len(terms) AS n FROM docs WHERE len(terms) > 0),
+stats AS (SELECT count(*) AS n_docs, CAST(sum(n) AS BIGINT) AS n_terms FROM held),
+asked AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+counted AS (
+  SELECT row, term, count(*) AS tf FROM (SELECT row, unnest(terms) AS term FROM held)
+  WHERE term IN (SELECT term FROM asked) GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, stats GROUP BY term, n_docs),
+gains AS (
+  SELECT row, doc_id, term, w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * n * n_docs) // n_terms))) AS gain
+  FROM counted JOIN held USING (row) JOIN weights USING (term), stats),
+scores AS (
+  SELECT item_id, row, doc_id, CAST(sum(gain) AS BIGINT) AS score
+  FROM asked JOIN gains USING (term) GROUP BY item_id, row, doc_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank
+  FROM scores WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= {Search().top}
+"""
+
 ORACLE = {
     "op1_mix_sources": MIX_SOURCES,
     "op2_url_filters": URL_FILTERS,
     "op4_adaptive_quality": ADAPTIVE_QUALITY,
     "op10_near_duplicates": NEAR_DUPLICATES,
+    "op11_spelling_variants": SPELLING_VARIANTS,
+    "op12_lexical_search": LEXICAL_SEARCH,
 }

@@ -10,11 +10,14 @@ from millrace.llm import (
     ann,
     byte_bpe,
     hmm,
+    lexical_search,
     minhash,
     mixing,
+    packing,
     quality_classifier,
     quality_rules,
     secret_scan,
+    spelling,
     token_count,
     url_filter,
 )
@@ -23,6 +26,7 @@ from millrace.llm.common import table
 #: Where the public tokenizer files lie: the package that describes them has ``path(name)``.
 COUNTING_VOCABULARY = "byte_bpe_50k.json"
 ENCODING_RANKS = "byte_bpe_multi_50k.tiktoken"
+PACKING_TOKENIZER = "word_bpe_49k.json"
 
 
 def mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,6 +80,22 @@ def near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents", "doc_id", "text"))
 
 
+def spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents", "doc_id", "text"))
+
+
+def ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents", "doc_id", "text"),
+                                 table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def pack_sequences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return packing.pack(table(spark, sf_dir, "documents", "doc_id", "text"),
+                        public_tokenizers.path(PACKING_TOKENIZER))
+
+
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_mix_sources": mix_sources,
     "op2_url_filters": url_filters,
@@ -87,4 +107,7 @@ REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_byte_bpe": byte_bpe_coding,
     "op9_quality_classifier": classify_quality,
     "op10_near_duplicates": near_duplicates,
+    "op11_spelling_variants": spelling_variants,
+    "op12_lexical_search": ranked_search,
+    "op13_packing": pack_sequences,
 }
