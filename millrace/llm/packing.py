@@ -16,6 +16,7 @@ import heapq
 import os
 import re
 import zlib
+from array import array
 from dataclasses import dataclass
 
 import numpy as np
@@ -36,7 +37,7 @@ class Packing:
     window: int = 1_000_000
     linear: int = 6 * 1024
     quadratic: int = 1
-    remembered: int = 400_000
+    remembered: int = 600_000
 
 
 def room(tokens: int, capacity: int) -> list[int]:
@@ -74,33 +75,46 @@ def assign(lengths: list[int], conf: Packing) -> list[tuple[int, int, int, int,
     return pieces
 
 
+#: A mark between a letter and a blank is a token of its own.
+_LONE_MARK = re.compile(r"(?<=[a-zÀ-ÖØ-öø-ÿ])([,.;:!?)]) ")
+
+
+def chunks_of(text: str) -> list[str]:
+    """Stretches of a text that the tokenizer treats apart. It never joins what spaces or
+    line ends part, and lower-cases A-Z itself; a text that may hold special tokens is left as it is."""
+    low = text.replace("\n", " ")
+    if "<|" not in low:
+        # Lower-casing bytes changes A-Z only.
+        low = low.lower() if low.isascii() else low.encode().lower().decode()
+        low = _LONE_MARK.sub(r" \1 ", low)
+    return low.split(" ")
+
+
 class WordIds:
-    """Ids of texts by a tokenizer that never joins what spaces or line ends part; ids of
-    short words are remembered."""
+    """Ids of texts by a tokenizer; those of short chunks are remembered."""
 
     def __init__(self, path: str, remembered: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        self.known: dict[str, bytes] = {}
         self.remembered = remembered
 
     def ids(self, whole: list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
-        parts = [re.split("[ \n]", text) for text in whole]
         if len(self.known) > self.remembered:
-            self.known = {"": b""}
-        known, new = self.known, {}
-        for words in parts:
-            new.update(dict.fromkeys(w for w in words if w not in known))
-        fresh = self.tokenizer.encode_batch_fast(list(new), add_special_tokens=False)
-        new = {w: np.array(e.ids, "<u4").tobytes() for w, e in zip(new, fresh)}
-        known.update(new)
-        made = [b"".join(map(known.__getitem__, words)) for words in parts]
-        for word in new:
-            if len(word) > 64:
-                del known[word]
+            self.known = {}
+        known = self.known
+        split = [chunks_of(text) for text in whole]
+        fresh = list(set().union(*split) - known.keys())
+        for chunk, found in zip(fresh, self.tokenizer.encode_batch_fast(
+                fresh, add_special_tokens=False)):
+            known[chunk] = array("I", found.ids).tobytes()
+        made = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        for chunk in fresh:
+            if len(chunk) > 64:
+                del known[chunk]
         return made
 
 
