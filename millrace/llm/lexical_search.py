@@ -28,6 +28,10 @@ from millrace.llm.common import texts, written
 TERM = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")
 
 
+#: An impact is at most a million.
+IMPACT_BITS = 20
+
+
 @dataclass(frozen=True)
 class Search:
     """``top`` documents of an item. ``shard``: postings that are indexed at once. ``block``: documents of a
@@ -35,7 +39,7 @@ class Search:
     code points of items that are searched together on average; more items take more rounds over the documents."""
 
     top: int = 50
-    shard: int = 1_000_000
+    shard: int = 500_000
     block: int = 64
     sketch: int = 32
     asked: int = 2_000_000
@@ -84,21 +88,25 @@ def counted_terms(docs: DataFrame, number: dict[str, int]) -> DataFrame:
     def run(batches):
         known = held.value
         for batch in batches:
-            made = {"doc_id": [], "n": [], "terms": [], "times": []}
-            for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
-                found = terms_of(text)
-                if not found:
-                    continue
-                counts = Counter(map(known.get, found))
-                counts.pop(None, None)
-                made["doc_id"].append(doc_id)
-                made["n"].append(len(found))
-                made["terms"].append(list(counts))
-                made["times"].append(list(counts.values()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(made["doc_id"], pa.int64()), pa.array(made["n"], pa.int64()),
-                 pa.array(made["terms"], pa.list_(pa.int32())),
-                 pa.array(made["times"], pa.list_(pa.int64()))], names=list(made))
+            for begin in range(0, batch.num_rows, 1_000):
+                yield counted(batch.slice(begin, 1_000), known)
+
+    def counted(batch, known):
+        made = {"doc_id": [], "n": [], "terms": [], "times": []}
+        for doc_id, text in zip(batch.column("doc_id").to_pylist(), texts(batch)):
+            found = terms_of(text)
+            if not found:
+                continue
+            counts = Counter(map(known.get, found))
+            counts.pop(None, None)
+            made["doc_id"].append(doc_id)
+            made["n"].append(len(found))
+            made["terms"].append(list(counts))
+            made["times"].append(list(counts.values()))
+        return pa.RecordBatch.from_arrays(
+            [pa.array(made["doc_id"], pa.int64()), pa.array(made["n"], pa.int64()),
+             pa.array(made["terms"], pa.list_(pa.int32())),
+             pa.array(made["times"], pa.list_(pa.int64()))], names=list(made))
 
     return docs.select("doc_id", "text").mapInArrow(
         run, "doc_id bigint, n bigint, terms array<int>, times array<bigint>")
@@ -152,47 +160,62 @@ class _Rows:
         return sums[ends] - sums[ends - lengths]
 
 
+@dataclass(frozen=True)
+class Blocks:
+    """One posting list: its documents block after block, where blocks begin, and a summary of each."""
+
+    members: np.ndarray
+    at: np.ndarray
+    summaries: _Rows
+
+
 class Shard:
-    """Some documents, their posting lists and the blocks in them."""
+    """Some documents and their posting lists; a list is cut into blocks when an item first
+    walks to it."""
 
     def __init__(self, terms: list[np.ndarray], impacts: list[np.ndarray], different: int,
                  conf: Search):
         lengths = np.array([len(t) for t in terms], np.int64)
         numbers = np.concatenate(terms).astype(np.int64)
-        self.docs = _Rows(lengths, numbers, np.concatenate(impacts))
+        self.docs = _Rows(lengths, numbers, np.concatenate(impacts).astype(np.int64))
         self.size, self.different, self.conf = len(terms), different, conf
         owner = np.repeat(np.arange(self.size), lengths)
-        draw = np.random.default_rng(conf.seed).standard_normal((different, conf.sketch), np.float32)
-        sketch = np.zeros((self.size, conf.sketch), np.float32)
-        for j in range(conf.sketch):
-            sketch[:, j] = np.bincount(owner, draw[numbers, j] * self.docs.values, self.size)
-        norm = np.linalg.norm(sketch, axis=1, keepdims=True)
-        sketch /= np.where(norm > 0, norm, 1)
         by_term = np.argsort(numbers, kind="stable")
-        border = np.searchsorted(numbers[by_term], np.arange(different + 1))
-        postings, sizes, self.first = [], [], np.zeros(different + 1, np.int64)
-        for term in range(different):
-            members = owner[by_term[border[term]:border[term + 1]]]
-            for block in self._clusters(members, sketch):
-                postings.append(block)
-                sizes.append(len(block))
-            self.first[term + 1] = len(sizes)
-        self.members = np.concatenate(postings) if postings else np.empty(0, np.int64)
-        self.block_at = np.concatenate(([0], np.cumsum(np.array(sizes, np.int64))))
-        self.summaries = self._summaries()
+        self.owner = owner[by_term]
+        self.border = np.searchsorted(numbers[by_term], np.arange(different + 1))
         self.most = np.zeros(different, np.int64)
         np.maximum.at(self.most, numbers, self.docs.values)
-
-    def _clusters(self, members: np.ndarray, sketch: np.ndarray):
+        self.blocks: dict[int, Blocks] = {}
+
+    @functools.cached_property
+    def sketch(self) -> np.ndarray:
+        """Directions of the documents in few dimensions, by a random projection."""
+        draw = np.random.default_rng(self.conf.seed).standard_normal(
+            (self.different, self.conf.sketch), np.float32)
+        owner = np.repeat(np.arange(self.size), np.diff(self.docs.at))
+        sums = np.stack([np.bincount(owner, draw[self.docs.numbers, j] * self.docs.values, self.size)
+                         for j in range(self.conf.sketch)], 1).astype(np.float32)
+        norm = np.linalg.norm(sums, axis=1, keepdims=True)
+        return sums / np.where(norm > 0, norm, 1)
+
+    def list_of(self, term: int) -> Blocks:
+        if term not in self.blocks:
+            clusters = list(self._clusters(self.owner[self.border[term]:self.border[term + 1]]))
+            members = np.concatenate(clusters) if clusters else np.empty(0, np.int64)
+            at = np.concatenate(([0], np.cumsum([len(c) for c in clusters]))).astype(np.int64)
+            self.blocks[term] = Blocks(members, at, self._summaries(members, at))
+        return self.blocks[term]
+
+    def _clusters(self, members: np.ndarray):
         """A posting list in blocks: each document with the nearest of some evenly spaced ones."""
         most = 2 * self.conf.block
         if len(members) <= most:
             if len(members):
                 yield members
             return
-        centres = members[::self.conf.block]
+        centres = self.sketch[members[::self.conf.block]]
         home = np.concatenate([
-            np.argmax(sketch[members[i:i + 4096]] @ sketch[centres].T, 1)
+            np.argmax(self.sketch[members[i:i + 4096]] @ centres.T, 1)
             for i in range(0, len(members), 4096)])
         order = np.argsort(home, kind="stable")
         cuts = np.flatnonzero(np.diff(home[order])) + 1
@@ -200,26 +223,18 @@ class Shard:
             for i in range(0, len(cluster), most):
                 yield cluster[i:i + most]
 
-    def _summaries(self) -> _Rows:
-        """Per block the greatest impact of each term over its documents."""
-        lengths, numbers, values = [], [], []
-        blocks = len(self.block_at) - 1
-        for begin in range(0, blocks, 256):
-            end = min(begin + 256, blocks)
-            members = self.members[self.block_at[begin]:self.block_at[end]]
-            counts = self.docs.at[members + 1] - self.docs.at[members]
-            places = _spans(self.docs.at[members], counts)
-            block = np.repeat(np.repeat(np.arange(end - begin), np.diff(
-                self.block_at[begin:end + 1])), counts)
-            key = block * self.different + self.docs.numbers[places]
-            order = np.argsort(key, kind="stable")
-            heads = np.flatnonzero(np.diff(key[order], prepend=-1))
-            values.append(np.maximum.reduceat(self.docs.values[places][order], heads))
-            found = key[order][heads]
-            numbers.append(found % self.different)
-            lengths.append(np.bincount(found // self.different, minlength=end - begin))
-        join = lambda parts: np.concatenate(parts) if parts else np.empty(0, np.int64)
-        return _Rows(join(lengths), join(numbers), join(values))
+    def _summaries(self, members: np.ndarray, at: np.ndarray) -> _Rows:
+        """Per block the greatest impact of each term over its documents: the last of each
+        (block, term) once both are sorted with the impacts behind them."""
+        counts = self.docs.at[members + 1] - self.docs.at[members]
+        places = _spans(self.docs.at[members], counts)
+        block = np.repeat(np.arange(len(at) - 1) * self.different, np.diff(at))
+        key = self.docs.numbers[places] + np.repeat(block, counts)
+        both = np.sort(key << IMPACT_BITS | self.docs.values[places])
+        key = both >> IMPACT_BITS
+        last = np.flatnonzero(np.diff(key, append=-1))
+        return _Rows(np.bincount(key[last] // self.different, minlength=len(at) - 1),
+                     key[last] % self.different, both[last] & (1 << IMPACT_BITS) - 1)
 
     def search(self, terms: np.ndarray, weights: np.ndarray, floor: int, found) -> tuple[int, int]:
         """Walk the lists of ``terms``. ``found(docs, scores)`` takes documents that may rank and
@@ -236,17 +251,16 @@ class Shard:
             # A document met in no list so far has only the terms from here on.
             if most < floor:
                 break
-            own = np.arange(self.first[term], self.first[term + 1])
-            if len(own):
-                alive = own[self.summaries.products(own, dense) >= floor]
-                blocks += len(own)
-                skipped += len(own) - len(alive)
-                members = self.members[_spans(
-                    self.block_at[alive], self.block_at[alive + 1] - self.block_at[alive])]
-                members = members[~seen[members]]
-                if len(members):
-                    seen[members] = True
-                    floor = found(members, self.docs.products(members, dense))
+            own = self.list_of(term)
+            every = np.arange(len(own.at) - 1)
+            alive = every[own.summaries.products(every, dense) >= floor]
+            blocks += len(every)
+            skipped += len(every) - len(alive)
+            members = own.members[_spans(own.at[alive], own.at[alive + 1] - own.at[alive])]
+            members = members[~seen[members]]
+            if len(members):
+                seen[members] = True
+                floor = found(members, self.docs.products(members, dense))
         return blocks, skipped
 
 
