@@ -179,10 +179,9 @@ def test_summaries_are_maxima():
     terms = [np.array([0, 2]), np.array([0, 1]), np.array([0])]
     impacts = [np.array([5, 7]), np.array([9, 1]), np.array([2])]
     shard = lexical_search.Shard(terms, impacts, 3, lexical_search.Search(block=8))
-    one = shard.first[0]
-    at, end = shard.summaries.at[one], shard.summaries.at[one + 1]
-    assert dict(zip(shard.summaries.numbers[at:end].tolist(),
-                    shard.summaries.values[at:end].tolist())) == {0: 9, 1: 1, 2: 7}
+    found = shard.list_of(0).summaries
+    assert found.at.tolist() == [0, 3]
+    assert dict(zip(found.numbers.tolist(), found.values.tolist())) == {0: 9, 1: 1, 2: 7}
 
 
 def test_search_of_odd_rows(spark, rows, odd_docs, no_docs):
