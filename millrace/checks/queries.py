@@ -298,8 +298,9 @@ def _stored_log(spark, sf, commits=range(1, 8)) -> tuple[str, DataFrame]:
 
 @register
 def stored_table_with_base(spark, sf):
+    """Five commits, shrunk to the state of the last, then two more."""
     root, log = _stored_log(spark, sf, range(1, 6))
-    changelog.write_base(spark, root, given.ORDERS_LOG, "customer_state")
+    changelog.retain_last_commits(spark, root, given.ORDERS_LOG, 1, "customer_state")
     for commit in (6, 7):
         rows = log.where(F.col(given.ORDERS_LOG.commit) == commit)
         changelog.write_commit(rows, root, given.ORDERS_LOG, commit, "customer_state")

@@ -11,14 +11,13 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.operators import enrich, evolution, quality, versions
+from millrace.operators import enrich, evolution, layout, quality, versions
 from millrace.plans import analytics, audit, dashboard, gold
 from millrace.schema import DEFAULT_DATABASE, DEFAULT_TOPIC
 from millrace.session import build_session
 from millrace.sources import catalog, changelog
 from millrace.sources.envelope import kafka_stream, publish, to_messages
-from millrace.sources.files import exists
-from millrace.sources.tables import read_layer, read_shop
+from millrace.sources.tables import exists, read_layer, read_shop
 from millrace.streaming.console import start_console
 from millrace.streaming.medallion import (
     SILVER_VERSIONING, STATE, Layers, start_ingest, stored_metrics,
@@ -58,12 +57,13 @@ def _in_file_order(shop: dict[str, DataFrame]) -> dict[str, DataFrame]:
 
 
 def _silver(spark: SparkSession, root: str) -> DataFrame:
-    """The versioned table where there is one, else the appended layer."""
+    """The versioned table where there is one, else the appended layer; says which."""
     layers = Layers(root)
-    try:
+    if exists(spark, layers.silver_versions):
+        print("silver: the versioned table, one row per order")
         return changelog.current(spark, layers.silver_versions, SILVER_VERSIONING)
-    except FileNotFoundError:
-        return read_layer(spark, layers.silver)
+    print("silver: the appended layer, one row per order and batch")
+    return read_layer(spark, layers.silver)
 
 
 def build_gold(spark: SparkSession, args) -> None:
@@ -95,21 +95,37 @@ def run_analytics(spark: SparkSession, args) -> None:
 
 
 def show_dashboard(spark: SparkSession, args) -> None:
-    layers = Layers(args.root)
-    metrics = stored_metrics(spark, layers)
-    dashboard.quality_summary(metrics).show(truncate=False, vertical=True)
-    dashboard.batch_breakdown(metrics).show(100, truncate=False)
-    quarantine = read_layer(spark, layers.quarantine)
-    silver = _silver(spark, args.root)
-    audit.layer_counts({
-        "bronze": read_layer(spark, layers.bronze), "silver": silver, "quarantine": quarantine,
-    }).show(truncate=False)
-    audit.latest_rows(
-        silver, [F.col("event_ts").desc_nulls_last(), "order_id"],
-        ["order_id", "order_status", "customer_state", "total_price", "payment_type", "event_ts"],
-    ).show(truncate=False)
-    reasons = quality.rejection_reasons(quarantine).orderBy(F.col("records").desc())
-    reasons.show(20, truncate=False)
+    layers, v = Layers(args.root), SILVER_VERSIONING
+    if exists(spark, layers.metrics):
+        metrics = stored_metrics(spark, layers)
+        dashboard.quality_summary(metrics).show(truncate=False, vertical=True)
+        dashboard.batch_breakdown(metrics).show(100, truncate=False)
+    else:
+        print("metrics: no data yet")
+    versioned = exists(spark, layers.silver_versions)
+    there = {
+        name: read_layer(spark, path) for name, path in (
+            ("bronze", layers.bronze), ("quarantine", layers.quarantine))
+        if exists(spark, path)}
+    if versioned or exists(spark, layers.silver):
+        there["silver"] = _silver(spark, args.root)
+    for name in ("bronze", "quarantine", "silver"):
+        if name not in there:
+            print(f"{name}: no data yet")
+    if there:
+        audit.layer_counts(there).show(truncate=False)
+    if "silver" in there:
+        audit.latest_rows(
+            there["silver"], [F.col("event_ts").desc_nulls_last(), "order_id"],
+            ["order_id", "order_status", "customer_state", "total_price", "payment_type",
+             "event_ts"]).show(truncate=False)
+    if versioned:
+        log = changelog.read_log(spark, layers.silver_versions, v)
+        versions.surviving_commits(log, v).orderBy(v.commit).show(100, truncate=False)
+        audit.duplicate_audit({"silver": there["silver"]}).show(truncate=False)
+    if "quarantine" in there:
+        quality.rejection_reasons(there["quarantine"]).orderBy(
+            F.col("records").desc()).show(20, truncate=False)
 
 
 def inspect_versions(spark: SparkSession, args) -> None:
@@ -146,7 +162,7 @@ def evolve(spark: SparkSession, args) -> None:
     if added.isEmpty():
         print("no delivered order to evolve")
         return
-    commit = changelog.kept(spark, root, v).last() + 1
+    commit = changelog.commits(spark, root, v)[-1] + 1
     changelog.write_commit(added, root, v, commit, STATE)
     after = changelog.current(spark, root, v)
     evolution.schema_report(before, after).show(100, truncate=False)
@@ -171,11 +187,9 @@ def _maintain_silver(spark: SparkSession, args) -> None:
         audit.partition_row_counts(table, STATE, top=15).show(truncate=False)
     if args.operation in ("all", "clean"):
         print("dropped commits:", changelog.retain_last_commits(spark, root, v, args.keep, STATE))
-    if args.operation in ("all", "cluster"):
-        print("clustered up to commit:",
-              changelog.write_base(spark, root, v, STATE, clustered_by="event_ts"))
-    if args.operation == "compact":
-        print("compacted up to commit:", changelog.write_base(spark, root, v, STATE))
+    if args.operation in ("all", "cluster", "compact"):
+        sort_by = () if args.operation == "compact" else ("event_ts",)
+        layout.compact(spark, root, (v.commit, STATE), sort_by=sort_by).show(truncate=False)
 
 
 def _gold_stats(spark: SparkSession, path: str) -> None:
@@ -186,6 +200,7 @@ def _gold_stats(spark: SparkSession, path: str) -> None:
         return
     table = read_layer(spark, path)
     audit.file_counts(table).show(truncate=False)
+    print("rows:", table.count())
 
 
 def parser() -> argparse.ArgumentParser:

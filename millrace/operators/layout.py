@@ -5,12 +5,14 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.operators.sizes import estimated_bytes
 from millrace.schema import COMPRESSION
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
+SMALL_FILE_BYTES = 64 * 1024 * 1024
 
 
 def clustered(
@@ -39,3 +41,40 @@ def rewrite(df: DataFrame, path: str, partition: str, **layout) -> None:
     """Write ``df`` clustered. ``path`` must not be a folder ``df`` reads from."""
     writer = clustered(df, partition, **layout).write.mode("overwrite").partitionBy(partition)
     writer.parquet(path, compression=COMPRESSION)
+
+
+def partitions_of_small_files(
+    table: DataFrame, partition: Sequence[str], small: int = SMALL_FILE_BYTES
+) -> DataFrame:
+    """Per partition that has more than one file below ``small``: how many, and all its ``files``. Reads
+    no column but the partition's."""
+    files = table.groupBy(
+        *partition, F.col("_metadata.file_path").alias("_file")
+    ).agg(F.max("_metadata.file_size").alias("_bytes"))
+    return files.groupBy(*partition).agg(
+        F.count_if(F.col("_bytes") < small).alias("small_files"),
+        F.count(F.lit(1)).alias("files")).where("small_files > 1")
+
+
+def compact(
+    spark: SparkSession, path: str, partition: Sequence[str], small: int = SMALL_FILE_BYTES,
+    sort_by: Sequence[str] = (),
+) -> DataFrame:
+    """Put the files of partitions with several small ones together, in place.
+
+    Other partitions are neither read nor written: the write replaces the partitions it brings.
+    With ``sort_by`` files are sorted inside. Returns the rewritten partitions, as they were.
+    """
+    table = spark.read.option("mergeSchema", True).parquet(path)
+    touched = spark.createDataFrame(
+        partitions_of_small_files(table, partition, small).collect(),
+        table.select(*partition).schema.add("small_files", "long").add("files", "long"))
+    if touched.isEmpty():
+        return touched
+    same = [table[name].eqNullSafe(touched[name]) for name in partition]
+    rows = table.join(touched, same, "left_semi").hint("rebalance", *partition)
+    if sort_by:
+        rows = rows.sortWithinPartitions(*partition, *sort_by)
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+        *partition).parquet(path, compression=COMPRESSION)
+    return touched

@@ -71,6 +71,11 @@ def batch_quality(checked: DataFrame, *by: str, key: str = "order_id") -> DataFr
         F.count_if("is_valid").alias("valid_records"),
         F.countDistinct(F.when(F.col("is_valid"), F.col(key))).alias("silver_records"),
     )
+    return with_shares(counts)
+
+
+def with_shares(counts: DataFrame) -> DataFrame:
+    """Differences and percentages of total, valid and silver counts."""
     counts = counts.withColumns({
         "quarantine_records": F.col("total_records") - F.col("valid_records"),
         "duplicates_removed": F.col("valid_records") - F.col("silver_records"),

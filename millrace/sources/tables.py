@@ -2,11 +2,23 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
 from millrace.schema import METRICS_DDL, SHOP_TABLES
 
 
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether a reader finds the folder; asks for its file list only."""
+    try:
+        spark.read.format("binaryFile").load(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def read_csv(spark: SparkSession, path: str, ddl: str) -> DataFrame:
     """A headed CSV file under a given schema; blanks are NULL.
 
