@@ -614,3 +614,40 @@ ORACLE["late_event_split"] = f"""WITH arrived AS (
 SELECT event_id, arrival_day, {_ts('ts')} AS ts, {_ts('watermark')} AS watermark,
   CAST(coalesce(ts <= watermark, false) AS VARCHAR) AS is_late
 FROM arrived JOIN marks USING (arrival_day)"""
+
+# --- files, bitmaps, numbering, progress ---------------------------------------------------
+
+ORACLE["small_files_compacted"] = f"""WITH {_CHECKED}
+SELECT customer_state, count(*) AS records, {_total('total_price')} AS amount,
+  1::BIGINT AS files, CAST(customer_state < 'M' AS VARCHAR) AS untouched
+FROM checked GROUP BY customer_state"""
+ORACLE["table_files"] = f"""WITH {_EV}
+SELECT customer_state, 1::BIGINT AS files, count(*) AS records FROM ev GROUP BY customer_state"""
+
+ORACLE["distinct_orders_merged"] = f"""WITH {_EV}
+SELECT batch_id, count(DISTINCT order_id) AS distinct_keys FROM ev GROUP BY batch_id
+UNION ALL SELECT NULL, count(DISTINCT order_id) FROM ev"""
+ORACLE["distinct_customers_rolling"] = f"""WITH {_EV}, seen AS (
+  SELECT DISTINCT CAST(event_ts AS DATE) AS day, customer_id FROM ev WHERE event_ts IS NOT NULL),
+days AS (SELECT DISTINCT day FROM seen)
+SELECT strftime(days.day, '%Y-%m-%d') AS day, count(DISTINCT customer_id) AS distinct_keys
+FROM days JOIN seen ON seen.day BETWEEN days.day - 6 AND days.day GROUP BY days.day"""
+
+_CHANGED = _orders_log() + f", silver AS (SELECT * FROM {_latest_orders()})"
+for _name in ("daily_revenue", "state_metrics", "status_funnel", "category_performance"):
+    ORACLE[f"gold_{_name.split('_')[0]}_from_changes"] = ORACLE[f"gold_{_name}"].replace(
+        f"WITH {_SILVER}", f"WITH {_CHANGED}")
+
+ORACLE["replay_order"] = f"""SELECT event_time, order_id, product_id, seller_id, total_price,
+  row_number() OVER (ORDER BY event_time, order_id, product_id, seller_id, total_price) AS replay_number
+FROM ({ORACLE['enriched_order_events']})"""
+
+ORACLE["last_customer_in_file_order"] = f"""
+SELECT c_custkey AS customer_id, [{_STATE_LIST}][c_nationkey + 1] AS customer_state,
+  CASE WHEN c_custkey % 3 = 0 THEN 'moved' ELSE c_mktsegment END AS customer_city
+FROM customer WHERE c_custkey % 40 <> 0"""
+
+ORACLE["stream_progress"] = f"""WITH {_WIRE}, counted AS (
+  SELECT batch_id, count(*) AS input_rows FROM wire GROUP BY batch_id)
+SELECT query, batch_id, input_rows
+FROM counted, (VALUES ('valid-view'), ('quarantine-view')) AS q(query)"""

@@ -16,16 +16,17 @@ from pyspark.sql import types as T
 from millrace.checks import inputs as given
 from millrace.functions.columns import normalize_status as contract_status
 from millrace.functions.measures import not_finite, total
-from millrace.operators import enrich, evolution, late, layout, quality, versions
+from millrace.operators import distinct, enrich, evolution, late, layout, quality, versions
 from millrace.operators.latest import latest_per_key, newest_first
+from millrace.operators.numbering import numbered
 from millrace.operators.parse import decode_envelope, parse_events, with_event_times
-from millrace.plans import analytics, audit, dashboard, gold
+from millrace.plans import analytics, audit, dashboard, gold, refresh
 from millrace.schema import QC_FLAGS
 from millrace.session import prepare, scratch_dir
 from millrace.sources import catalog, changelog
 from millrace.sources.envelope import append_envelope_batch, file_stream, to_messages
-from millrace.sources.tables import read_csv, read_layer, read_metrics
-from millrace.streaming.console import console_views
+from millrace.sources.tables import in_file_order, read_csv, read_layer, read_metrics
+from millrace.streaming.console import console_views, progress_rows
 from millrace.streaming.late import (
     dedup_within_watermark, late_rows, split_late, unique_on_time,
 )
@@ -377,6 +378,56 @@ def layout_rewrite_preserves_rows(spark, sf):
     return read_layer(spark, path).select(EVENT_COLUMNS)
 
 
+@register
+def small_files_compacted(spark, sf):
+    """States from M on lie in many small files, the others in one each: only the former are
+    rewritten, and no row changes."""
+    path, states = scratch_dir(spark, "files"), given.checked_events(spark, sf)
+    many = F.col("customer_state") >= "M"
+    states.where(~many).repartition(1).write.partitionBy("customer_state").parquet(path)
+    for rest in range(3):
+        states.where(many & (F.pmod("product_id", F.lit(3)) == rest)).repartition(1).write.mode(
+            "append").partitionBy("customer_state").parquet(path)
+    before = read_layer(spark, path).select(F.col("_metadata.file_path").alias("file")).distinct()
+    before = spark.createDataFrame(before.collect(), before.schema)
+    layout.compact(spark, path, ["customer_state"])
+    after = read_layer(spark, path).select("*", F.col("_metadata.file_path").alias("file"))
+    kept = before.withColumn("kept", F.lit(True))
+    return after.join(kept, "file", "left").groupBy("customer_state").agg(
+        F.count("*").alias("records"), total("total_price").alias("amount"),
+        F.countDistinct("file").alias("files"),
+        F.bool_and(F.coalesce("kept", F.lit(False))).alias("untouched"))
+
+
+@register
+def table_files(spark, sf):
+    """Files of each partition of a stored layer, by their metadata."""
+    path = scratch_dir(spark, "files")
+    given.checked_events(spark, sf).repartition(1).write.partitionBy(
+        "customer_state").parquet(path)
+    layer = read_layer(spark, path)
+    return layer.groupBy("customer_state").agg(
+        F.countDistinct("_metadata.file_path").alias("files"), F.count("*").alias("records"))
+
+
+@register
+def distinct_orders_merged(spark, sf):
+    """Orders per batch, and over all batches from the batches' bitmaps."""
+    stored = distinct.key_bitmaps(given.order_events(spark, sf), "order_id", "batch_id")
+    whole = distinct.distinct_keys(stored.drop("batch_id")).withColumn(
+        "batch_id", F.lit(None).cast("bigint"))
+    return distinct.distinct_keys(stored, "batch_id").unionByName(whole)
+
+
+@register
+def distinct_customers_rolling(spark, sf):
+    """Customers of the seven days up to each day with orders."""
+    dated = given.order_events(spark, sf).where("event_ts IS NOT NULL").withColumn(
+        "day", F.to_date("event_ts"))
+    daily = distinct.key_bitmaps(dated, "customer_id", "day")
+    return distinct.distinct_keys(distinct.rolling_bitmaps(daily, "day", 7), "day")
+
+
 # --- schema evolution -----------------------------------------------------------------
 
 def _evolution(spark, sf) -> tuple[DataFrame, DataFrame]:
@@ -459,6 +510,37 @@ def gold_upsert(spark, sf):
     return merged.drop(gold.UPDATED)
 
 
+def _from_changes(spark, sf, mode) -> DataFrame:
+    """Gold of the first three commits, then brought up to date twice. Late and repeated orders move
+    between groups; silver is not read again."""
+    log, v, table = given.orders_log(spark, sf), given.ORDERS_LOG, refresh.tables()[mode]
+    path = scratch_dir(spark, "parts")
+    early = refresh.first_rows(versions.as_of(log, v, 3))
+    refresh.parts_of(early, table).write.parquet(path)
+    now = refresh.refreshed(spark.read.parquet(path), log, v, [(3, 5), (5, 7)], table)
+    return table.finish(now)
+
+
+@register
+def gold_daily_from_changes(spark, sf):
+    return _from_changes(spark, sf, "daily")
+
+
+@register
+def gold_state_from_changes(spark, sf):
+    return _from_changes(spark, sf, "state")
+
+
+@register
+def gold_status_from_changes(spark, sf):
+    return _from_changes(spark, sf, "status")
+
+
+@register
+def gold_category_from_changes(spark, sf):
+    return _from_changes(spark, sf, "category")
+
+
 @register
 def daily_revenue_trend(spark, sf):
     return analytics.daily_revenue_trend(gold.daily_revenue(silver(spark, sf)))
@@ -552,6 +634,28 @@ def enriched_order_events_repeats(spark, sf):
     return enrich.order_item_events(**shop, customer_sequence="seq", product_sequence="seq")
 
 
+@register
+def replay_order(spark, sf):
+    """The number of each event in the replay."""
+    order = ["event_time", "order_id", "product_id", "seller_id", "total_price"]
+    events = enrich.order_item_events(**given.shop_tables(spark, sf))
+    return numbered(events.select(order), *order, column="replay_number")
+
+
+@register
+def last_customer_in_file_order(spark, sf):
+    """A small file, then a large one with other rows for the same customers: the later file's count."""
+    customers, path = given.shop_tables(spark, sf)["customers"], scratch_dir(spark, "shop")
+    again = customers.where("customer_id % 3 = 0")
+    again.coalesce(1).write.csv(f"{path}/a", header=True)
+    customers.withColumn("customer_city", F.when(
+        F.col("customer_id") % 3 == 0, "moved").otherwise(F.col("customer_city"))).coalesce(
+        1).write.csv(f"{path}/b", header=True)
+    stored = spark.read.schema("customer_id bigint, customer_state string, customer_city string").csv(
+        [f"{path}/a", f"{path}/b"], header=True)
+    return enrich.last_row(in_file_order(stored), "customer_id", "_row")
+
+
 @register
 def money_sums_wide(spark, sf):
     """Amounts beyond 64 bits, and amounts that are no numbers."""
@@ -773,6 +877,23 @@ def console_quarantine_view(spark, sf):
         *QC_FLAGS)
 
 
+@register
+def stream_progress(spark, sf):
+    """Rows per batch of two named queries that run at once."""
+    path, root = scratch_dir(spark, "wire"), scratch_dir(spark, "views")
+    _stage(spark, sf, path)
+    views = console_views(file_stream(spark, path, _files(spark)))
+    tag = uuid.uuid4().hex[:8]
+    running = [
+        view.writeStream.format("noop").queryName(f"{name} {tag}").option(
+            "checkpointLocation", f"{root}/{name}").trigger(availableNow=True).start()
+        for name, view in zip(("valid-view", "quarantine-view"), views)]
+    for query in running:
+        query.awaitTermination()
+    return progress_rows(spark, running).withColumn(
+        "query", F.split_part("query", F.lit(" "), F.lit(1)))
+
+
 @register
 def stream_watermark_dedup(spark, sf):
     """Messages carry their arrival, a minute per batch, so that none is behind the

@@ -12,12 +12,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import enrich, evolution, layout, quality, versions
-from millrace.plans import analytics, audit, dashboard, gold
+from millrace.plans import analytics, audit, dashboard, gold, refresh
 from millrace.schema import DEFAULT_DATABASE, DEFAULT_TOPIC
 from millrace.session import build_session
 from millrace.sources import catalog, changelog
 from millrace.sources.envelope import kafka_stream, publish, to_messages
-from millrace.sources.tables import exists, read_layer, read_shop
+from millrace.sources.tables import exists, in_file_order, read_layer, read_shop
 from millrace.streaming.console import start_console
 from millrace.streaming.medallion import (
     SILVER_VERSIONING, STATE, Layers, start_ingest, stored_metrics,
@@ -52,8 +52,8 @@ def replay(spark: SparkSession, args) -> None:
 
 def _in_file_order(shop: dict[str, DataFrame]) -> dict[str, DataFrame]:
     """Customers and products with their place in the files: of repeats the last row counts."""
-    return {name: rows.withColumn("_row", F.monotonically_increasing_id())
-            if name in ("customers", "products") else rows for name, rows in shop.items()}
+    return {name: in_file_order(rows) if name in ("customers", "products") else rows
+            for name, rows in shop.items()}
 
 
 def _silver(spark: SparkSession, root: str) -> DataFrame:
@@ -67,6 +67,9 @@ def _silver(spark: SparkSession, root: str) -> DataFrame:
 
 
 def build_gold(spark: SparkSession, args) -> None:
+    if args.incremental:
+        refresh_gold(spark, args)
+        return
     modes = tuple(gold.GOLD_TABLES) if args.mode == "all" else (args.mode,)
     catalog.ensure_database(spark, args.database)
     # Silver is written once under its catalog name; every gold table reads that,
@@ -83,6 +86,36 @@ def build_gold(spark: SparkSession, args) -> None:
     catalog.tables(spark, args.database).show(truncate=False)
 
 
+def refresh_gold(spark: SparkSession, args) -> None:
+    """All gold tables from what changed since the last refresh; the first one reads all."""
+    places, v = Layers(args.root), SILVER_VERSIONING
+    log = changelog.read_log(spark, places.silver_versions, v)
+    newest = changelog.commits(spark, places.silver_versions, v)[-1]
+    parts = f"{places.gold}/parts"
+    last = None
+    if exists(spark, parts):
+        last = spark.read.parquet(f"{parts}/*/daily").select(
+            F.max(F.regexp_extract("_metadata.file_path", "/upto=([0-9]+)/", 1).cast("bigint"))
+        ).first()[0]
+    if last == newest:
+        print("gold is up to date with commit", newest)
+        return
+    changes = (refresh.first_rows(versions.snapshot(log, v)) if last is None
+               else refresh.row_changes(log, v, last))
+    catalog.ensure_database(spark, args.database)
+    for mode, table in refresh.tables().items():
+        sums = refresh.parts_of(changes, table)
+        if last is not None:
+            sums = refresh.merged(spark.read.parquet(f"{parts}/upto={last}/{mode}"), sums, table)
+        sums.write.mode("overwrite").parquet(f"{parts}/upto={newest}/{mode}")
+        name = gold.GOLD_TABLES[mode][0]
+        catalog.register(
+            gold.with_update_time(table.finish(
+                spark.read.parquet(f"{parts}/upto={newest}/{mode}"))),
+            name, args.database, f"{places.gold}/{name}")
+    print("gold refreshed from commit", last, "to", newest)
+
+
 def run_analytics(spark: SparkSession, args) -> None:
     for name in [args.report] if args.report else analytics.SUITE:
         report = analytics.SUITE[name]
@@ -222,6 +255,7 @@ def parser() -> argparse.ArgumentParser:
     job("console", console, servers=servers, topic=topic)
     job("replay", replay, data={"required": True}, servers=servers, topic=topic)
     job("gold", build_gold, root=root, database=database, buckets={"type": int},
+        incremental={"action": "store_true"},
         mode={"default": "all", "choices": ["all", *gold.GOLD_TABLES]})
     job("analytics", run_analytics, database=database, root={},
         report={"choices": list(analytics.SUITE)})

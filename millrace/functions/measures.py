@@ -27,26 +27,53 @@ def _number(column: Column | str) -> Column:
     return (F.col(column) if isinstance(column, str) else column).cast("double")
 
 
-def total(column: Column | str) -> Column:
-    """Sum of the amounts; NULLs are left out, NaN and infinity are not."""
-    value = _number(column)
-    inside = F.abs(value) < _EXACT_BELOW
-    exact = F.when(inside, value)
+#: Parts of an amount that count what is no finite number.
+NOT_FINITE = ("nan", "plus", "minus")
+
+
+def _limbs(value: Column) -> dict[str, Column]:
+    """Millionths, limbs of 21 bits and words of 63 bits of amounts below 2^100; NULL for others."""
+    exact = F.when(F.abs(value) < _EXACT_BELOW, value)
     words = F.when(F.abs(exact) < _WORD, F.lit(0)).otherwise((exact / _WORD).cast("bigint"))
     near = exact - words * _WORD
     units = F.floor(near)
-    limbs = [units.bitwiseAND((1 << _LIMB) - 1),
-             F.shiftright(units, _LIMB).bitwiseAND((1 << _LIMB) - 1),
-             F.shiftright(units, 2 * _LIMB), words]
-    whole = F.sum(F.rint((near - units) * 1_000_000.0).cast("bigint")).cast(
-        "decimal(20,0)") * F.lit(Decimal("0.000001"))
-    for place, limb in enumerate(limbs):
-        whole = whole + F.sum(limb).cast("decimal(18,0)") * F.lit(Decimal(2 ** (_LIMB * place)))
-    rest = F.sum(F.when(~inside, value))
+    return {
+        "millionths": F.rint((near - units) * 1_000_000.0).cast("bigint"),
+        "limb0": units.bitwiseAND((1 << _LIMB) - 1),
+        "limb1": F.shiftright(units, _LIMB).bitwiseAND((1 << _LIMB) - 1),
+        "limb2": F.shiftright(units, 2 * _LIMB),
+        "words": words,
+    }
+
+
+def amount_parts(column: Column | str) -> dict[str, Column]:
+    """An amount as parts that may be added and taken away again: its limbs, and what is beyond
+    them, counted by kind. Only amounts from 2^100 on stay doubles (``beyond``)."""
+    value = _number(column)
+    infinite = F.abs(value) == float("inf")
+    beyond = (F.abs(value) >= _EXACT_BELOW) & ~F.isnan(value) & ~infinite
+    kinds = (F.isnan(value), infinite & (value > 0), infinite & (value < 0))
+    return {**_limbs(value), **{k: c.cast("int") for k, c in zip(NOT_FINITE, kinds)},
+            "beyond": F.when(beyond, value), "beyond_n": beyond.cast("int")}
+
+
+def put_together(sums: dict[str, Column], rest: Column) -> Column:
+    """The amount of summed limbs, plus ``rest`` if it is not NULL."""
+    whole = sums["millionths"].cast("decimal(20,0)") * F.lit(Decimal("0.000001"))
+    for place, name in enumerate(("limb0", "limb1", "limb2", "words")):
+        whole = whole + sums[name].cast("decimal(18,0)") * F.lit(Decimal(2 ** (_LIMB * place)))
     return F.when(rest.isNull(), whole.cast("double")).otherwise(
         rest + F.coalesce(whole.cast("double"), F.lit(0.0)))
 
 
+def total(column: Column | str) -> Column:
+    """Sum of the amounts; NULLs are left out, NaN and infinity are not."""
+    value = _number(column)
+    inside = F.abs(value) < _EXACT_BELOW
+    return put_together({name: F.sum(part) for name, part in _limbs(value).items()},
+                        F.sum(F.when(~inside, value)))
+
+
 def mean(column: Column | str) -> Column:
     return total(column) / F.nullif(F.count(_number(column)), F.lit(0))
 

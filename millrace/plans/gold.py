@@ -29,6 +29,10 @@ def daily_revenue(silver: DataFrame) -> DataFrame:
         total("freight_value").alias("total_freight"),
         mean("freight_value").alias("avg_freight"),
     )
+    return with_day_ratios(days)
+
+
+def with_day_ratios(days: DataFrame) -> DataFrame:
     return days.withColumns({
         "revenue_per_order": F.round(F.col("total_revenue") / F.col("order_count"), 2),
         "date_key": F.date_format("order_date", "yyyyMMdd"),
@@ -46,6 +50,10 @@ def state_metrics(silver: DataFrame) -> DataFrame:
         F.count_if(F.col("_delay") > 0).alias("late_deliveries"),
         F.count("*").alias("total_records"),
     )
+    return with_late_share(states)
+
+
+def with_late_share(states: DataFrame) -> DataFrame:
     return states.withColumn(
         "late_delivery_pct", percent(F.col("late_deliveries"), F.col("total_records"))
     )
@@ -58,12 +66,16 @@ def status_funnel(silver: DataFrame) -> DataFrame:
 def category_performance(silver: DataFrame) -> DataFrame:
     """Ranked by revenue; the ranking sees one row per category."""
     categories = silver.where(F.col("product_category").isNotNull()).groupBy("product_category")
-    ranked = F.dense_rank().over(Window.orderBy(F.col("total_revenue").desc()))
-    return categories.agg(
+    return with_revenue_rank(categories.agg(
         *order_measures(),
         F.sum("quantity").alias("total_qty"),
         mean("unit_price").alias("avg_unit_price"),
-    ).withColumn("revenue_rank", ranked)
+    ))
+
+
+def with_revenue_rank(categories: DataFrame) -> DataFrame:
+    ranked = F.dense_rank().over(Window.orderBy(F.col("total_revenue").desc()))
+    return categories.withColumn("revenue_rank", ranked)
 
 
 # Mode name to (table, key, builder).

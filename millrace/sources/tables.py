@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from millrace.schema import METRICS_DDL, SHOP_TABLES
 
@@ -50,6 +51,17 @@ def read_shop(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     }
 
 
+def in_file_order(rows: DataFrame, column: str = "_row") -> DataFrame:
+    """Rows with their place in the files they are read from: file, start of the split, place in it.
+
+    A task may read splits of several files, the largest first; its own row numbers
+    tell apart rows of one split only.
+    """
+    return rows.withColumn(column, F.struct(
+        "_metadata.file_path", "_metadata.file_block_start",
+        F.monotonically_increasing_id().alias("place")))
+
+
 def read_layer(spark: SparkSession, path: str) -> DataFrame:
     """A Parquet layer; partition columns come from the folder names."""
     return spark.read.parquet(path)

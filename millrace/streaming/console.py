@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
 from millrace.operators.parse import parse_events
@@ -29,6 +29,16 @@ def start_console(raw: DataFrame, every: str = "10 seconds") -> list[StreamingQu
     ]
 
 
+def progress_rows(spark: SparkSession, queries: list[StreamingQuery]) -> DataFrame:
+    """``query``, ``batch_id``, ``input_rows`` of the batches that the queries still remember; a
+    batch without rows is none."""
+    seen = {(query.name, p["batchId"]): p["numInputRows"]
+            for query in queries for p in query.recentProgress if p["numInputRows"]}
+    return spark.createDataFrame(
+        [(name, batch, rows) for (name, batch), rows in sorted(seen.items())],
+        "query string, batch_id bigint, input_rows bigint")
+
+
 def _to_console(view: DataFrame, rows: int) -> DataStreamWriter:
     return (
         view.writeStream.outputMode("append").format("console")
