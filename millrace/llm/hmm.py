@@ -29,10 +29,9 @@ END = b""
 
 @dataclass(frozen=True)
 class HmmConf:
-    """``frequent``: words with a class of their own. ``shapes``: classes of the others.
-    ``warm_passes`` and ``passes``: together, the most passes, all of them over all
-    training texts; they end when one gains less than ``settled`` nats a token.
-    ``warm_docs`` has no effect: no step looks at some documents only. ``smoothing``:
+    """``frequent``: at most so many words have a class of their own. ``shapes``: classes of the others.
+    ``passes``: the most passes, all of them over all training texts; they end when
+    one gains less than ``settled`` nats a token. ``smoothing``:
     how many tokens of the corpus mean each state is given. ``kinds`` and ``profile``:
     texts are grouped by the one of so many frequent words that marks them most, and
     compared by so many sums of classes."""
@@ -40,9 +39,7 @@ class HmmConf:
     states: int = 6
     frequent: int = 49_152
     shapes: int = 2048
-    warm_docs: int = 512
-    warm_passes: int = 12
-    passes: int = 2
+    passes: int = 14
     smoothing: float = 200.0
     seed: int = 1
     settled: float = 0.005
@@ -101,8 +98,7 @@ def corpus_of(counts: DataFrame, conf: HmmConf) -> Corpus:
     """What the tasks need of the counts. Bounded by ``frequent`` and ``shapes``."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
                        F.count(F.lit(1)).alias("v")).first()
-    # The end is always a class of its own.
-    top = counts.orderBy((F.length("word") > 0), F.desc("n"), "word").limit(conf.frequent).collect()
+    top = frequent_words(counts, conf.frequent)
     frequent = {bytes(r["word"]): i for i, r in enumerate(top)}
     # Words that are not frequent, by shape: all words less the frequent ones.
     shaped = counts.groupBy(
@@ -117,6 +113,25 @@ def corpus_of(counts: DataFrame, conf: HmmConf) -> Corpus:
                   np.array([r["n"] for r in top], np.int64), mass)
 
 
+def frequent_words(counts: DataFrame, most: int) -> list:
+    """The end, then words by falling count: of whole steps of counts as many as ``most`` holds.
+
+    The steps (a sixty-fourth of an octave) are counted first, so that no more than ``most``
+    rows leave the tasks in all.
+    """
+    step = F.floor(F.log2("n") * 64)
+    words = counts.where(F.length("word") > 0)
+    cut, held = None, 1
+    for row in sorted(words.groupBy(step.alias("step")).count().collect(), reverse=True):
+        held += row["count"]
+        if held > most:
+            break
+        cut = row["step"]
+    kept = words.where(step >= cut if cut is not None else F.lit(False))
+    rows = kept.union(counts.where(F.length("word") == 0)).collect()
+    return sorted(rows, key=lambda r: (len(r["word"]) > 0, -r["n"], bytes(r["word"])))
+
+
 class _Coder(dict):
     """Class of each word; those of rare words are remembered up to a bound."""
 
@@ -205,57 +220,60 @@ class _TimeMajor:
             self.codes[self.at[place] + column] = np.concatenate([docs[i] for i in self.order])
 
 
-def forward(model: Hmm, packed: _TimeMajor) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Scaled forward variables and scales by position, and the natural log likelihood of
-    each document, in packed order."""
-    emits = model.emits[packed.codes]
-    alpha, scale = np.empty_like(emits), np.empty(len(emits))
-    last = None
+def forward(
+    model: Hmm, packed: _TimeMajor
+) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Emissions and scaled forward variables (states x positions), scales by position, and the
+    natural log likelihood of each document, in packed order. Works in the model's precision."""
+    emits = np.ascontiguousarray(model.emits.T)[:, packed.codes]
+    alpha, scale = np.empty_like(emits), np.empty(emits.shape[1], emits.dtype)
+    into = np.ascontiguousarray(model.moves.T)
+    at, before = packed.at.tolist(), 0
     for t, n in enumerate(packed.active.tolist()):
-        a, b = packed.at[t], packed.at[t] + n
-        now = alpha[a:b]
+        a = at[t]
+        now, total = alpha[:, a:a + n], scale[a:a + n]
         if t:
-            np.matmul(last[:n], model.moves, out=now)
-            now *= emits[a:b]
+            np.matmul(into, alpha[:, before:before + n], out=now)
+            now *= emits[:, a:a + n]
         else:
-            np.multiply(model.start, emits[a:b], out=now)
-        total = now.sum(1)
-        scale[a:b] = total
-        now /= total[:, None]
-        last = now
-    logs, likelihood = np.log(scale), np.zeros(len(packed.order))
-    for t, n in enumerate(packed.active.tolist()):
-        likelihood[:n] += logs[packed.at[t]:packed.at[t] + n]
-    return alpha, scale, likelihood
+            np.multiply(model.start[:, None], emits[:, :n], out=now)
+        np.add.reduce(now, axis=0, out=total)
+        now /= total
+        before = a
+    logs, likelihood = np.log(scale.astype(np.float64)), np.zeros(len(packed.order))
+    for a, n in zip(at, packed.active.tolist()):
+        likelihood[:n] += logs[a:a + n]
+    return emits, alpha, scale, likelihood
 
 
 def expect(model: Hmm, packed: _TimeMajor, into: Expected) -> None:
     """Add the expected counts of some documents: one forward and one backward pass."""
     if not len(packed.codes):
         return
-    alpha, scale, likelihood = forward(model, packed)
+    emits, alpha, scale, likelihood = forward(model, packed)
     into.likelihood += float(likelihood.sum())
-    gamma = np.empty_like(alpha)
-    emits = model.emits[packed.codes]
-    steps, active = len(packed.active), packed.active.tolist()
-    back = np.ones((active[0], alpha.shape[1]))
-    for t in range(steps - 1, -1, -1):
-        a, n = packed.at[t], active[t]
-        if t + 1 < steps:
-            c, m = packed.at[t + 1], active[t + 1]
-            ahead = emits[c:c + m] * back[:m]
-            ahead /= scale[c:c + m, None]
-            into.moves += model.moves * (alpha[a:a + m].T @ ahead)
-            back[:m] = ahead @ model.moves.T
-        gamma[a:a + n] = alpha[a:a + n] * back[:n]
-    into.start += gamma[:active[0]].sum(0)
-    for k in range(gamma.shape[1]):
-        into.emits[:, k] += np.bincount(packed.codes, gamma[:, k], len(into.emits))
+    # What a position contributes to the one before it: emission over scale, times backward.
+    emits /= scale
+    ahead, back = np.empty_like(emits), np.ones_like(emits)
+    at, active = packed.at.tolist(), packed.active.tolist()
+    for t in range(len(active) - 1, 0, -1):
+        a, c, m = at[t - 1], at[t], active[t]
+        np.multiply(emits[:, c:c + m], back[:, c:c + m], out=ahead[:, c:c + m])
+        np.matmul(model.moves, ahead[:, c:c + m], out=back[:, a:a + m])
+    first = active[0]
+    # The position before each one: documents keep their column from step to step.
+    earlier = np.arange(first, len(packed.codes)) - np.repeat(
+        packed.active[:-1], packed.active[1:])
+    into.moves += model.moves * (alpha[:, earlier] @ ahead[:, first:].T)
+    back *= alpha
+    into.start += back[:, :first].sum(1)
+    for k, share in enumerate(back):
+        into.emits[:, k] += np.bincount(packed.codes, share, len(into.emits))
 
 
 def _nothing(conf: HmmConf, classes: int) -> Expected:
     k = conf.states
-    return Expected(np.zeros(k), np.zeros((k, k)), np.zeros((classes, k)))
+    return Expected(np.zeros(k), np.zeros((k, k)), np.zeros((k, classes)).T)
 
 
 def _maximise(found: Expected, mean: np.ndarray, conf: HmmConf) -> Hmm:
@@ -266,7 +284,7 @@ def _maximise(found: Expected, mean: np.ndarray, conf: HmmConf) -> Hmm:
     return Hmm(start / start.sum(), moves / moves.sum(1, keepdims=True), emits / emits.sum(0))
 
 
-def _groups(docs: list[np.ndarray], most_tokens: int = 400_000):
+def _groups(docs: list[np.ndarray], most_tokens: int = 800_000):
     """Documents of similar length, in runs of bounded size."""
     run, tokens = [], 0
     for i in np.argsort([-len(d) for d in docs], kind="stable"):
@@ -380,8 +398,10 @@ def _summed(encoded: DataFrame, add, conf: HmmConf, classes: int) -> Expected:
 
 
 def one_pass(encoded: DataFrame, model: Hmm, conf: HmmConf) -> Expected:
-    """Expected counts over all training texts."""
-    held = encoded.sparkSession.sparkContext.broadcast(model)
+    """Expected counts over all training texts. Passes work in single precision and add up in
+    double; a text's own likelihood is in double throughout."""
+    held = encoded.sparkSession.sparkContext.broadcast(Hmm(*(
+        part.astype(np.float32) for part in (model.start, model.moves, model.emits))))
 
     def add(docs, found):
         for group in _groups(docs):
@@ -417,7 +437,7 @@ def fit(encoded: DataFrame, corpus: Corpus, conf: HmmConf) -> Hmm:
     mean /= mean.sum()
     model = start_of(encoded, mean, len(corpus.frequent), conf)
     before = -math.inf
-    for _ in range(conf.warm_passes + conf.passes):
+    for _ in range(conf.passes):
         found = one_pass(encoded, model, conf)
         model = _maximise(found, mean, conf)
         if found.likelihood - before < conf.settled * max(corpus.tokens, 1):
@@ -458,7 +478,7 @@ def score(docs: DataFrame, conf: HmmConf = HmmConf()) -> DataFrame:
             likelihood = np.zeros(len(docs))
             for group in _groups(docs):
                 packed = _TimeMajor([docs[i] for i in group])
-                _, _, found = forward(model, packed)
+                *_, found = forward(model, packed)
                 likelihood[np.array(group)[packed.order]] = found
             return {
                 "row": batch.column("row"),

@@ -201,7 +201,7 @@ def test_forward_and_expectations_equal_brute_force():
     model = hmm.Hmm(rows(1, 3)[0], rows(3, 3), rows(3, 5).T)
     docs = [rng.integers(0, 5, n).astype(np.int32) for n in (4, 1, 3, 4)]
     packed = hmm._TimeMajor(docs)
-    _, _, likelihood = hmm.forward(model, packed)
+    *_, likelihood = hmm.forward(model, packed)
     found = hmm._nothing(hmm.HmmConf(states=3), 5)
     hmm.expect(model, packed, found)
     want, moves = {}, np.zeros((3, 3))
@@ -221,10 +221,23 @@ def test_forward_and_expectations_equal_brute_force():
         assert likelihood[place] == pytest.approx(math.log(want[i]))
     assert found.moves == pytest.approx(moves)
     assert found.emits.sum() == pytest.approx(sum(map(len, docs)))
+    single = hmm._nothing(hmm.HmmConf(states=3), 5)
+    hmm.expect(hmm.Hmm(*(p.astype(np.float32) for p in (model.start, model.moves, model.emits))),
+               packed, single)
+    assert single.emits == pytest.approx(found.emits, rel=1e-4)
+    assert single.moves == pytest.approx(found.moves, rel=1e-4)
+
+
+def test_frequent_words_are_whole_steps(spark):
+    rows = [(b"", 5)] + [(f"w{i}".encode(), n) for i, n in enumerate([900, 40, 40, 7, 7, 7, 1])]
+    counts = spark.createDataFrame(rows, "word binary, n long")
+    assert [r.n for r in hmm.frequent_words(counts, 5)] == [5, 900, 40, 40]
+    assert [r.n for r in hmm.frequent_words(counts, 7)] == [5, 900, 40, 40, 7, 7, 7]
+    assert [r.n for r in hmm.frequent_words(counts, 1)] == [5]
 
 
 def test_lm_scores(docs):
-    conf = hmm.HmmConf(states=3, frequent=300, shapes=64, warm_docs=64, warm_passes=4, passes=1)
+    conf = hmm.HmmConf(states=3, frequent=300, shapes=64, passes=5)
     got = {r.doc_id: r for r in hmm.score(docs, conf).collect()}
     texts = {r.doc_id: (r.text or "").encode().lower().split() + [b""] for r in docs.collect()}
     held = {d: zlib.crc32(str(d).encode()) % 7 == 2 for d in texts}
@@ -266,7 +279,7 @@ def test_a_rare_kind_of_text_gets_a_state(spark):
         letter = "r" if i in rare else "ab"[i % 2]
         rows.append((i, " ".join(f"{letter}{w}" for w in rng.integers(0, 60, 40)), False))
     docs = spark.createDataFrame(rows, "doc_id long, text string, held_out boolean")
-    conf = hmm.HmmConf(states=3, frequent=300, shapes=16, passes=0)
+    conf = hmm.HmmConf(states=3, frequent=300, shapes=16, passes=12)
     corpus = hmm.corpus_of(hmm.count_words(docs), conf)
     model = hmm.fit(hmm.encode(docs, corpus, conf).cache(), corpus, conf)
     own = [c for w, c in corpus.frequent.items() if w.startswith(b"r")]
@@ -275,7 +288,7 @@ def test_a_rare_kind_of_text_gets_a_state(spark):
 
 
 def test_lm_on_odd_rows(odd_docs, no_docs):
-    conf = hmm.HmmConf(states=2, frequent=50, shapes=16, warm_passes=2, passes=1)
+    conf = hmm.HmmConf(states=2, frequent=50, shapes=16, passes=3)
     got = hmm.score(odd_docs, conf).collect()
     assert len(got) == odd_docs.count()
     assert all(math.isfinite(r.score) and math.isfinite(r.base_score) for r in got)
