@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from millrace.llm.lexical_search import Search
 from millrace.llm.mixing import Mix
-from millrace.llm.quality_rules import RATIOS
+from millrace.llm.quality_rules import MOST, RATIOS, REACH, UNIT
 from millrace.llm.spelling import Spelling
 from millrace.llm.url_filter import LISTED_HOSTS, RULES
 
@@ -102,6 +102,8 @@ def _ratio(a: str, b: str) -> str:
     return f"coalesce(1000 * {a} // nullif({b}, 0), 0)"
 
 
+_PRIOR = 200
+
 ADAPTIVE_QUALITY = f"""
 WITH docs AS (
   SELECT row_number() OVER () AS row, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
@@ -140,19 +142,53 @@ groups AS (
   SELECT 0 AS width, lang, source, * EXCLUDE (lang, source) FROM ratios
   UNION ALL SELECT 1, lang, NULL, * EXCLUDE (lang, source) FROM ratios
   UNION ALL SELECT 2, NULL, NULL, * EXCLUDE (lang, source) FROM ratios),
+sketch AS (
+  SELECT width, lang, source, ratio, least, bucket, count(*) AS n FROM groups
+  GROUP BY width, lang, source, ratio, least, bucket),
+w2 AS (SELECT ratio, least, bucket, CAST(n * {UNIT} AS BIGINT) AS weight FROM sketch WHERE width = 2),
+s2 AS (
+  SELECT *, CAST(floor({UNIT}.0::DOUBLE * weight / CAST(sum(weight) OVER (PARTITION BY ratio) AS DOUBLE)) AS BIGINT) AS share
+  FROM w2),
+w1 AS (
+  SELECT lang, ratio, least, bucket, CAST(sum(weight) AS BIGINT) AS weight FROM (
+    SELECT lang, ratio, least, bucket, n * {UNIT} AS weight FROM sketch WHERE width = 1
+    UNION ALL SELECT lang, ratio, least, bucket, {_PRIOR} * share
+    FROM (SELECT DISTINCT lang, ratio FROM sketch WHERE width = 1) JOIN s2 USING (ratio))
+  GROUP BY lang, ratio, least, bucket),
+s1 AS (
+  SELECT *, CAST(floor({UNIT}.0::DOUBLE * weight / CAST(sum(weight) OVER (PARTITION BY lang, ratio) AS DOUBLE)) AS BIGINT) AS share
+  FROM w1),
+w0 AS (
+  SELECT lang, source, ratio, least, bucket, CAST(sum(weight) AS BIGINT) AS weight FROM (
+    SELECT lang, source, ratio, least, bucket, n * {UNIT} AS weight FROM sketch WHERE width = 0
+    UNION ALL SELECT g.lang, g.source, g.ratio, s1.least, s1.bucket, {_PRIOR} * share
+    FROM (SELECT DISTINCT lang, source, ratio FROM sketch WHERE width = 0) g
+    JOIN s1 ON g.lang IS NOT DISTINCT FROM s1.lang AND g.ratio = s1.ratio)
+  GROUP BY lang, source, ratio, least, bucket),
+weights AS (
+  SELECT 0 AS width, * FROM w0 UNION ALL SELECT 1, lang, NULL, * EXCLUDE (lang) FROM w1
+  UNION ALL SELECT 2, NULL, NULL, * FROM w2),
+running AS (
+  SELECT *, sum(weight) OVER (PARTITION BY width, lang, source, ratio ORDER BY bucket) AS seen,
+         sum(weight) OVER (PARTITION BY width, lang, source, ratio) AS whole FROM weights),
 quartiles AS (
-  SELECT width, lang, source, ratio, any_value(least) AS least, count(*) AS n,
-         quantile_disc(bucket, 0.25) AS q1, quantile_disc(bucket, 0.75) AS q3
-  FROM groups GROUP BY width, lang, source, ratio),
+  SELECT width, lang, source, ratio, least, min(bucket) FILTER (WHERE seen * 4 >= whole) AS q1,
+         min(bucket) FILTER (WHERE seen * 2 >= whole) AS q2
+  FROM running GROUP BY width, lang, source, ratio, least),
+upper AS (
+  SELECT *, greatest(q2 + {REACH} * (q2 - q1), q2 + least) AS fence FROM quartiles),
+languages AS (
+  SELECT l.lang, l.ratio, least(l.fence, {MOST} * a.fence) AS fence
+  FROM upper l JOIN upper a ON l.ratio = a.ratio AND l.width = 1 AND a.width = 2),
 fences AS (
-  SELECT width, lang, source, ratio, n, greatest(q3 + 3 * (q3 - q1), q3 + least) AS fence FROM quartiles),
+  SELECT g.lang, g.source, g.ratio, least(g.fence, {MOST} * l.fence) AS fence
+  FROM upper g JOIN languages l ON g.ratio = l.ratio AND g.lang IS NOT DISTINCT FROM l.lang
+  WHERE g.width = 0),
 judged AS (
   SELECT counts.*, n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
          {' AND '.join(
-             f"{_BUCKET.format(v=_ratio(a, b))} <= coalesce("
-             f"(SELECT fence FROM fences f WHERE width = 0 AND n >= 200 AND ratio = '{name}' AND f.lang IS NOT DISTINCT FROM counts.lang AND f.source IS NOT DISTINCT FROM counts.source), "
-             f"(SELECT fence FROM fences f WHERE width = 1 AND n >= 200 AND ratio = '{name}' AND f.lang IS NOT DISTINCT FROM counts.lang), "
-             f"(SELECT fence FROM fences f WHERE width = 2 AND ratio = '{name}'))"
+             f"{_BUCKET.format(v=_ratio(a, b))} <= (SELECT fence FROM fences f WHERE ratio = '{name}' "
+             f"AND f.lang IS NOT DISTINCT FROM counts.lang AND f.source IS NOT DISTINCT FROM counts.source)"
              for name, a, b, _ in RATIOS)} AS within
   FROM counts)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_lines, n_upper,

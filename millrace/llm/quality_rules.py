@@ -5,6 +5,11 @@ every ratio gives an upper fence; a document above a fence of its group is
 rejected. The sketch is a histogram over log-linear buckets (five leading
 bits, so 3 % relative error): it merges by adding counts, its size has a fixed
 bound, and it does not depend on the order of rows or on retries.
+
+A fence hangs on the lower half of its group only, so that junk in less than half of
+it does not lift the fence. A group's sketch is blended with that of its language, which counts
+as ``prior`` documents, and a language's with that of all: small groups follow their language
+without a step. And no fence is over twice the one of the wider group.
 """
 
 from __future__ import annotations
@@ -120,46 +125,71 @@ def sketches(counts: DataFrame) -> DataFrame:
             .groupBy("width", "lang", "source", "ratio", "bucket").agg(F.sum("n").alias("n")))
 
 
-def fences(sketch: DataFrame) -> DataFrame:
-    """Upper fence of each group and ratio: the third quartile plus three times the
-    spread of the middle half, and never below the ratio's least fence."""
-    group = Window.partitionBy("width", "lang", "source", "ratio")
-    running = sketch.withColumn(
-        "seen", F.sum("n").over(group.orderBy("bucket"))).withColumn(
-        "rows", F.sum("n").over(group))
+#: A document in units of weight, so that shares of it are whole numbers.
+UNIT = 1_000_000
+REACH, MOST = 7, 2
+
+
+def blended(sketch: DataFrame, width: int, keys: list[str], wider: DataFrame | None,
+            wider_keys: list[str], prior: int) -> DataFrame:
+    """Weights per bucket of the groups of one width: their own documents, and ``prior``
+    documents spread as in the wider group."""
+    own = sketch.where(F.col("width") == width).select(
+        *keys, "ratio", "bucket", (F.col("n") * UNIT).alias("weight"))
+    if wider is None:
+        return own
+    shares = wider.withColumn("share", F.floor(
+        F.lit(float(UNIT)) * F.col("weight") / F.sum("weight").over(
+            Window.partitionBy(*wider_keys, "ratio")))).select(
+        *(F.col(k).alias(f"_{k}") for k in wider_keys), F.col("ratio").alias("_ratio"),
+        "bucket", (prior * F.col("share")).cast("bigint").alias("weight"))
+    groups = own.select(*keys, "ratio").distinct()
+    same = F.col("ratio") == F.col("_ratio")
+    for key in wider_keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    return own.unionByName(groups.join(shares, same).select(*keys, "ratio", "bucket", "weight")
+                           ).groupBy(*keys, "ratio", "bucket").agg(F.sum("weight").alias("weight"))
+
+
+def upper_fences(weights: DataFrame, keys: list[str]) -> DataFrame:
+    """Fence of each group and ratio: the median plus seven times its distance from the first
+    quartile, and never less than the ratio's least fence above the median."""
+    group = Window.partitionBy(*keys, "ratio")
+    running = weights.withColumn("seen", F.sum("weight").over(group.orderBy("bucket"))).withColumn(
+        "whole", F.sum("weight").over(group))
     least = F.expr("CASE ratio " + " ".join(
         f"WHEN '{name}' THEN {floor}" for name, _, _, floor in RATIOS) + " END")
-    quartiles = running.groupBy("width", "lang", "source", "ratio").agg(
-        F.max("rows").alias("rows"),
-        F.min(F.when(F.col("seen") * 4 >= F.col("rows"), F.col("bucket"))).alias("q1"),
-        F.min(F.when(F.col("seen") * 4 >= F.col("rows") * 3, F.col("bucket"))).alias("q3"))
-    fence = F.greatest(F.col("q3") + 3 * (F.col("q3") - F.col("q1")), F.col("q3") + least)
-    return quartiles.withColumn("fence", fence).groupBy("width", "lang", "source").agg(
-        F.max("rows").alias("rows"),
-        *(F.max(F.when(F.col("ratio") == name, F.col("fence"))).alias(f"{name}_fence")
-          for name, *_ in RATIOS))
-
-
-def resolved(thresholds: DataFrame, min_rows: int) -> DataFrame:
-    """The fences that hold for each language and source, one struct per group.
-
-    A group of fewer than ``min_rows`` documents takes the fences of its
-    language, and a rare language those of all documents. NULL languages and
-    sources are groups of their own. The windows run over one row per group.
-    """
-    fence = F.struct(*(f"{name}_fence" for name, *_ in RATIOS))
-
-    def at(width: int, window) -> Column:
-        least = F.lit(0) if width == 2 else F.lit(min_rows)
-        return F.max(F.when((F.col("width") == width) & (F.col("rows") >= least), fence)
-                     ).over(window)
-
-    own = F.when(F.col("rows") >= min_rows, fence)
-    return thresholds.withColumn("fences", F.coalesce(
-        F.when(F.col("width") == 0, own), at(1, Window.partitionBy("lang")),
-        at(2, Window.partitionBy())),
-    ).where("width = 0").select(F.col("lang").alias("_lang"), F.col("source").alias("_source"),
-                                F.col("fences").alias("_fences"))
+    quartiles = running.groupBy(*keys, "ratio").agg(
+        F.min(F.when(F.col("seen") * 4 >= F.col("whole"), F.col("bucket"))).alias("q1"),
+        F.min(F.when(F.col("seen") * 2 >= F.col("whole"), F.col("bucket"))).alias("q2"))
+    return quartiles.select(*keys, "ratio", F.greatest(
+        F.col("q2") + REACH * (F.col("q2") - F.col("q1")), F.col("q2") + least).alias("fence"))
+
+
+def _bounded(fences: DataFrame, wider: DataFrame, wider_keys: list[str]) -> DataFrame:
+    bound = wider.select(*(F.col(k).alias(f"_{k}") for k in wider_keys),
+                         F.col("ratio").alias("_ratio"), F.col("fence").alias("_most"))
+    same = F.col("ratio") == F.col("_ratio")
+    for key in wider_keys:
+        same = same & F.col(key).eqNullSafe(F.col(f"_{key}"))
+    return fences.join(bound, same).withColumn(
+        "fence", F.least("fence", MOST * F.col("_most"))).select(fences.columns)
+
+
+def fences(sketch: DataFrame, prior: int) -> DataFrame:
+    """One row per language and source (``_lang``, ``_source``) with its fences as a struct. NULL
+    languages and sources are groups of their own. Works on sketches, a bounded number of rows per group."""
+    narrow, middle = ["lang", "source"], ["lang"]
+    every = blended(sketch, 2, [], None, [], prior)
+    languages = blended(sketch, 1, middle, every, [], prior)
+    groups = blended(sketch, 0, narrow, languages, middle, prior)
+    widest = upper_fences(every, [])
+    of_language = _bounded(upper_fences(languages, middle), widest, [])
+    of_group = _bounded(upper_fences(groups, narrow), of_language, middle)
+    fence = F.struct(*(F.max(F.when(F.col("ratio") == name, F.col("fence"))).alias(f"{name}_fence")
+                       for name, *_ in RATIOS))
+    return of_group.groupBy(F.col("lang").alias("_lang"), F.col("source").alias("_source")).agg(
+        fence.alias("_fences"))
 
 
 def judged(counts: DataFrame, groups: DataFrame) -> DataFrame:
@@ -178,7 +208,7 @@ def judged(counts: DataFrame, groups: DataFrame) -> DataFrame:
     )
 
 
-def adaptive_quality(docs: DataFrame, min_rows: int = 200) -> DataFrame:
+def adaptive_quality(docs: DataFrame, prior: int = 200) -> DataFrame:
     """Counts and verdict of each document: ``doc_id``, ``COUNTS``, ``base_failed``, ``kept``.
 
     NULL and empty texts have no words and fail the base rule. Each row gives
@@ -186,17 +216,19 @@ def adaptive_quality(docs: DataFrame, min_rows: int = 200) -> DataFrame:
     """
     counts = written(measured(docs.select("doc_id", "text", "lang", "source"))
                      .drop("text"), "quality-counts")
-    groups = written(resolved(fences(sketches(counts)), min_rows), "quality-fences")
+    groups = written(fences(written(sketches(counts), "quality-sketches"), prior),
+                     "quality-fences")
     return judged(counts, groups).drop("lang", "source")
 
 
-def quality_filter(docs: DataFrame, min_rows: int = 200) -> DataFrame:
+def quality_filter(docs: DataFrame, prior: int = 200) -> DataFrame:
     """The rows of ``docs`` that pass, with their columns.
 
     Texts are measured twice, once for the thresholds and once beside the
     verdict, which is cheaper than sending every text through a join.
     """
     counts = measured(docs.select("text", "lang", "source")).drop("text")
-    groups = written(resolved(fences(sketches(counts)), min_rows), "quality-fences")
+    groups = written(fences(written(sketches(counts), "quality-sketches"), prior),
+                     "quality-fences")
     verdicts = judged(measured(docs), groups)
     return verdicts.where("kept").select(docs.columns)

@@ -152,6 +152,35 @@ def test_fences_follow_the_group(spark):
     assert sum(not k for k in kept.values()) == 1
 
 
+def _plain(i):
+    return " ".join(f"Word{i}x{j}" if j % 9 == 0 else f"w{(i * 7 + j) % 90}v{j}" for j in range(60))
+
+
+JUNK = {
+    "symbols": lambda i: _plain(i) + " " + "|#$ " * (60 + i % 7),
+    "capitals": lambda i: _plain(i).upper(),
+    "lines": lambda i: "\n".join([_plain(i)] + [f"same line here {i}"] * 9),
+}
+
+
+@pytest.mark.parametrize("kind", JUNK)
+def test_junk_in_two_fifths_of_a_source_does_not_lift_the_fence(spark, kind):
+    rows = [(i, JUNK[kind](i) if i % 5 < 2 else _plain(i), "en", "a") for i in range(600)]
+    rows += [(i, _plain(i), "en", "bc"[i % 2]) for i in range(600, 1000)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules.adaptive_quality(docs).collect()}
+    assert kept == {i: i >= 600 or i % 5 >= 2 for i in range(1000)}
+
+
+@pytest.mark.parametrize("size", [199, 200, 201])
+def test_a_source_of_junk_has_the_same_verdict_at_any_size(spark, size):
+    rows = [(i, JUNK["symbols"](i), "en", "a") for i in range(size)]
+    rows += [(i, _plain(i), "en", "bcd"[i % 3]) for i in range(1000, 1700)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string")
+    kept = {r.doc_id: r.kept for r in quality_rules.adaptive_quality(docs).collect()}
+    assert kept == {i: i >= 1000 for i in kept}
+
+
 # --- mixing ----------------------------------------------------------------------------
 
 def test_mix_of_odd_rows(odd_docs, no_docs):
