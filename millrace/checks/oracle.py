@@ -651,3 +651,10 @@ ORACLE["stream_progress"] = f"""WITH {_WIRE}, counted AS (
   SELECT batch_id, count(*) AS input_rows FROM wire GROUP BY batch_id)
 SELECT query, batch_id, input_rows
 FROM counted, (VALUES ('valid-view'), ('quarantine-view')) AS q(query)"""
+
+# --- reports through catalog views -----------------------------------------------------
+
+for _name in ("daily_revenue_trend", "top_states_revenue", "top_categories", "hourly_distribution",
+              "payment_method_breakdown", "customer_concentration", "delivery_sla"):
+    ORACLE[f"view_{_name}"] = ORACLE[_name]
+ORACLE["view_status_funnel"] = ORACLE["status_funnel_pct"]

@@ -20,7 +20,7 @@ from millrace.operators import distinct, enrich, evolution, late, layout, qualit
 from millrace.operators.latest import latest_per_key, newest_first
 from millrace.operators.numbering import numbered
 from millrace.operators.parse import decode_envelope, parse_events, with_event_times
-from millrace.plans import analytics, audit, dashboard, gold, refresh
+from millrace.plans import analytics, audit, dashboard, gold, refresh, views
 from millrace.schema import QC_FLAGS
 from millrace.session import prepare, scratch_dir
 from millrace.sources import catalog, changelog
@@ -608,6 +608,59 @@ def catalog_report(spark, sf):
     return analytics.run_report(spark, "payment_method_breakdown", _catalog(spark, sf))
 
 
+def _viewed(spark, sf, name, **parameters) -> DataFrame:
+    """A report read through the catalog, over the one table that it needs."""
+    database, root = f"millrace_{uuid.uuid4().hex[:8]}", scratch_dir(spark, "catalog")
+    catalog.ensure_database(spark, database, root)
+    table = analytics.SUITE[name].table
+    rows = silver(spark, sf)
+    catalog.register(
+        rows if table == "orders_silver" else gold.build_all(rows)[table], table, database,
+        f"{root}/{table}")
+    views.create_report(spark, name, database)
+    return views.read_report(spark, name, database, **parameters)
+
+
+@register
+def view_daily_revenue_trend(spark, sf):
+    return _viewed(spark, sf, "daily_revenue_trend")
+
+
+@register
+def view_top_states_revenue(spark, sf):
+    return _viewed(spark, sf, "top_states_revenue", states=10)
+
+
+@register
+def view_status_funnel(spark, sf):
+    return _viewed(spark, sf, "status_funnel")
+
+
+@register
+def view_top_categories(spark, sf):
+    return _viewed(spark, sf, "top_categories", up_to=20)
+
+
+@register
+def view_payment_method_breakdown(spark, sf):
+    return _viewed(spark, sf, "payment_method_breakdown")
+
+
+@register
+def view_hourly_distribution(spark, sf):
+    return _viewed(spark, sf, "hourly_distribution")
+
+
+@register
+def view_customer_concentration(spark, sf):
+    return _viewed(spark, sf, "customer_concentration")
+
+
+@register
+def view_delivery_sla(spark, sf):
+    return _viewed(spark, sf, "delivery_sla")
+
+
 # --- shop tables to events ------------------------------------------------------------
 
 @register

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from millrace.operators import enrich, evolution, layout, quality, versions
-from millrace.plans import analytics, audit, dashboard, gold, refresh
+from millrace.plans import analytics, audit, dashboard, gold, refresh, views
 from millrace.schema import DEFAULT_DATABASE, DEFAULT_TOPIC
 from millrace.session import build_session
 from millrace.sources import catalog, changelog
@@ -83,6 +83,9 @@ def build_gold(spark: SparkSession, args) -> None:
     for name, table in gold.build_all(silver, modes).items():
         catalog.register(
             gold.with_update_time(table), name, args.database, f"{places.gold}/{name}")
+    if set(modes) == set(gold.GOLD_TABLES):
+        for name in analytics.SUITE:
+            views.create_report(spark, name, args.database)
     catalog.tables(spark, args.database).show(truncate=False)
 
 

@@ -9,7 +9,7 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from millrace.operators.late import behind
 
-_NEWEST = "newest timestamp, micro_batch bigint"
+_NEWEST = "newest timestamp"
 
 
 def dedup_within_watermark(
@@ -32,7 +32,9 @@ def split_late(
     The watermark of a micro-batch is the greatest event time of all earlier ones minus
     ``delay``. ``seen_at`` is that greatest time with the batch's own rows: it never
     goes back, so that no row is behind a watermark over it. A batch replaces its
-    folders when it comes again; the greatest time goes from batch to batch in a file.
+    folders when it comes again; the greatest time goes from batch to batch in a file, read by its
+    own folder. :func:`unique_on_time` may meet a replaced folder's rows twice: they carry the same keys
+    and times, so its state or its watermark drops them.
     """
     spark = events.sparkSession
     spark.createDataFrame([(None,)], "newest timestamp").write.mode("overwrite").parquet(
@@ -40,14 +42,11 @@ def split_late(
 
     def write(batch: DataFrame, number: int) -> None:
         own = batch.sparkSession
-        earlier = own.read.schema(_NEWEST).parquet(f"{root}/newest").where(
-            F.col("micro_batch") == number - 1)
+        at = lambda n: own.read.schema(_NEWEST).parquet(
+            f"{root}/newest/micro_batch={n}").agg(F.max("newest").alias("newest"))
         newest = batch.agg(F.max(event_time).cast("timestamp").alias("newest"))
-        newest.unionByName(earlier.select("newest")).agg(F.max("newest").alias("newest")).coalesce(
+        newest.unionByName(at(number - 1)).agg(F.max("newest").alias("newest")).coalesce(
             1).write.mode("overwrite").parquet(f"{root}/newest/micro_batch={number}")
-        marks = own.read.schema(_NEWEST).parquet(f"{root}/newest")
-        at = lambda n: marks.where(F.col("micro_batch") == n).agg(
-            F.max("newest").alias("newest"))
         known = at(number - 1).select(
             (F.col("newest") - F.expr(f"INTERVAL {delay}")).alias("_mark")
         ).crossJoin(at(number).select(
