@@ -138,9 +138,12 @@ def test_contract_columns(spark):
         "op5": "query_id rank vec_id score", "op7": "doc_id n_bytes n_tokens over_limit",
         "op8": "doc_id n_tokens ids_sha256 decoded_sha256",
         "op9": "doc_id held_out score predicted", "op10": "doc_id n_shingles component_id kept",
+        "op11": "word form root n n_near form_n", "op12": "item_id rank doc_id score",
+        "op13": "doc_id start length ids_crc32 doc_tokens sequence_id offset",
     }
     assert sorted(n.split("_")[0] for n in REGISTRY) == sorted([*want, "op6"])
-    for name in ("op2_url_filters", "op7_token_counts", "op8_byte_bpe"):
+    for name in ("op2_url_filters", "op7_token_counts", "op8_byte_bpe", "op11_spelling_variants",
+                 "op12_lexical_search", "op13_packing"):
         assert set(want[name.split("_")[0]].split()) <= set(REGISTRY[name](spark, SF).columns)
 
 
