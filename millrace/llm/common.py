@@ -37,6 +37,20 @@ def crc_remainder(column: str, divisor: int) -> Column:
     return F.crc32(F.col(column).cast("string")) % divisor
 
 
+def bounded_sample(df: DataFrame, most: int, *keys: str) -> DataFrame:
+    """At most ``most`` rows of ``df`` in the order of a hash of ``keys``, then of ``keys``.
+
+    Of a larger table the share of rows that is about nine tenths of ``most`` is chosen by
+    another hash first, so that all tasks together send about ``most`` rows, however
+    many tasks there are.
+    """
+    rows, whole = df.count(), 1 << 40
+    if rows > most:
+        share = int(whole * 0.9 * most / rows)
+        df = df.where(F.pmod(F.xxhash64(F.lit("share"), *keys), F.lit(whole)) < share)
+    return df.orderBy(F.xxhash64(*keys), *keys).limit(most)
+
+
 #: What this worker process keeps from one task to the next.
 _HELD: dict[tuple, object] = {}
 

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from millrace.llm import trees
-from millrace.llm.common import crc_remainder, per_batch, texts, written
+from millrace.llm.common import bounded_sample, crc_remainder, per_batch, texts, written
 from millrace.llm.quality_rules import COUNTS, measure_text
 
 #: Statistics of a text that rules may use.
@@ -134,13 +134,12 @@ def fit_rules(values: np.ndarray, labels: np.ndarray, count: int = 25, depth: in
 def fit(features: DataFrame, labels: DataFrame, most_rows: int = 10_000) -> RuleEnsemble:
     """Learn ``labels.quality`` from rows whose crc32 of ``doc_id`` modulo 4 is not 2.
 
-    Takes at most ``most_rows`` labelled rows, those with the least hash of
-    their id. Labels that are NULL, and rows without id, are not used.
+    Takes at most ``most_rows`` labelled rows, chosen by a hash of id and statistics. Labels that are NULL, and rows without id, are not used.
     """
     usable = labels.where("quality IN (0, 1)").select("doc_id", "quality").where(
         crc_remainder("doc_id", 4) != 2)
-    sample = features.join(usable, "doc_id").orderBy(
-        F.xxhash64("doc_id"), "doc_id", *STATISTICS, "quality").limit(most_rows).collect()
+    labelled = written(features.join(usable, "doc_id"), "quality-labelled")
+    sample = bounded_sample(labelled, most_rows, "doc_id", *STATISTICS, "quality").collect()
     values = np.array([[r[s] for s in STATISTICS] for r in sample], float).reshape(
         -1, len(STATISTICS))
     return fit_rules(values, np.array([r["quality"] for r in sample], int))

@@ -21,7 +21,7 @@ from millrace.llm import (
     token_count,
     url_filter,
 )
-from millrace.llm.common import table
+from millrace.llm.common import table, written
 
 #: Where the public tokenizer files lie: the package that describes them has ``path(name)``.
 COUNTING_VOCABULARY = "byte_bpe_50k.json"
@@ -53,7 +53,8 @@ def nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents", "doc_id", "text")
-    return secret_scan.scan(docs, secret_scan.fit(docs))
+    found = written(secret_scan.find(docs).drop("text"), "secret-candidates")
+    return secret_scan.scan(found, secret_scan.fit(docs, found))
 
 
 def token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
