@@ -32,7 +32,8 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, secrets replaced."""
-    return secret_scan.redact(docs, secret_scan.fit(docs))
+    found = written(secret_scan.find(docs), "secret-candidates")
+    return secret_scan.redact(found, secret_scan.fit(docs, found))
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
