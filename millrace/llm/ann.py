@@ -142,7 +142,7 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20,
     Queries are the vectors whose id is divisible by ``every``. Vectors that are
     NULL, zero, or hold NULL or non-finite components take no part, nor do rows
     without id, nor vectors of another length than the query's. A query whose id
-    repeats asks once, with one of its vectors, and no row of its id answers it.
+    repeats asks once, with the least of its vectors, and no row of its id answers it.
     """
     usable = vectors.where("vec_id IS NOT NULL").where(_usable("embedding")).select(
         "vec_id", F.col("embedding").cast("array<double>").alias("vector"),
@@ -150,7 +150,8 @@ def nearest(vectors: DataFrame, every: int = 20, k: int = 20,
     usable = written(usable, "ann-vectors")
     sizes = usable.agg(F.count(F.lit(1)).alias("n")).first()
     rows = sizes["n"]
-    queries = usable.where(F.col("vec_id") % every == 0).dropDuplicates(["vec_id"])
+    queries = usable.where(F.col("vec_id") % every == 0).groupBy("vec_id").agg(
+        F.min("vector").alias("vector")).withColumn("dims", F.size("vector"))
     blocks = max(conf.least_blocks, -(-rows // conf.block_rows))
     query_blocks = -(-max(1, rows // every) // conf.query_rows)
     index = usable.withColumn(

@@ -52,6 +52,7 @@ _BLANK[[9, 10, 11, 12, 13, 32]] = True
 _RANDOM = np.random.default_rng(20240607)
 _BYTE = _RANDOM.integers(0, 2**63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0x9E3779B97F4A7C15
+_PRIME, _PRIME_BASE = 2**31 - 1, 1_103_515_245
 _ORDER = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -61,6 +62,19 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+@functools.lru_cache(maxsize=1)
+def _prime_powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
+    """As :func:`_powers`, modulo a prime."""
+    made = []
+    for base in (_PRIME_BASE, pow(_PRIME_BASE, -1, _PRIME)):
+        found = np.ones(1 << bits, np.uint64)
+        for i in range(bits):
+            half = 1 << i
+            found[half:2 * half] = found[:half] * np.uint64(pow(base, half, _PRIME)) % np.uint64(_PRIME)
+        made.append(found)
+    return made[0], made[1]
+
+
 @functools.lru_cache(maxsize=1)
 def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the base and of its inverse modulo 2^64, for texts of 2^bits bytes."""
@@ -72,8 +86,9 @@ def _powers(bits: int) -> tuple[np.ndarray, np.ndarray]:
 def shingles(text: str, words: int) -> np.ndarray:
     """Sorted distinct 64-bit hashes of a text's shingles, A-Z lower-cased.
 
-    A word's hash is a polynomial of its bytes, taken from running sums; a
-    text of fewer words is one shingle; one without words has none.
+    A word's hash mixes two polynomials of its bytes, modulo 2^64 and modulo a prime (the
+    former alone is blind to some words made of two letters), taken from running sums;
+    a text of fewer words is one shingle; one without words has none.
     """
     data = np.frombuffer(text.encode().lower(), np.uint8)
     blank = np.concatenate(([True], _BLANK[data], [True]))
@@ -84,7 +99,12 @@ def shingles(text: str, words: int) -> np.ndarray:
     up, down = _powers(max(17, int(len(data)).bit_length()))
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[:len(data)], out=sums[1:])
-    hashes = _mix((sums[ends] - sums[starts]) * down[starts])
+    up, back = _prime_powers(max(17, int(len(data)).bit_length()))
+    rests = np.zeros(len(data) + 1, np.uint64)
+    prime = np.uint64(_PRIME)
+    np.cumsum((data.astype(np.uint64) + np.uint64(1)) * up[:len(data)] % prime, out=rests[1:])
+    other = (rests[ends] - rests[starts]) % prime * back[starts] % prime
+    hashes = _mix((sums[ends] - sums[starts]) * down[starts] + _mix(other))
     words = min(words, len(hashes))
     count = len(hashes) - words + 1
     found = np.zeros(count, np.uint64)
@@ -360,13 +380,17 @@ def _shingle_rows(batch: pa.RecordBatch, words: int):
 def one_of_each(docs: DataFrame, conf: MinHash = MinHash(words=5, percent=80)) -> DataFrame:
     """``docs`` with one document of each group of near duplicates.
 
-    The one with the least ``doc_id`` stays, once also where its row repeats;
-    rows without ``doc_id`` all stay.
+    The one with the least ``doc_id`` stays, of rows that repeat an id the first by text,
+    then by the other columns; rows without ``doc_id`` all stay.
     """
     ids = near_duplicates(docs, conf)
     gone = ids.where("NOT kept").select("doc_id").distinct()
     often = docs.where("doc_id IS NOT NULL").groupBy("doc_id").count().where("count > 1")
     often = often.select("doc_id")
     stay = docs.join(written(gone, "minhash-gone"), "doc_id", "left_anti")
+    first = Window.partitionBy("doc_id").orderBy("text", *(
+        name for name, kind in docs.dtypes if name != "text" and "map<" not in kind))
+    one = stay.join(often, "doc_id", "left_semi").withColumn(
+        "_minhash_row", F.row_number().over(first)).where("_minhash_row = 1")
     return stay.join(often, "doc_id", "left_anti").select(docs.columns).union(
-        stay.join(often, "doc_id", "left_semi").dropDuplicates(["doc_id"]).select(docs.columns))
+        one.select(docs.columns))

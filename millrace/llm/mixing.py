@@ -165,7 +165,10 @@ def spans(sizes: DataFrame, goals: DataFrame, mix: Mix) -> DataFrame:
                 F.col("position").alias("slot_position"), "shards")
     )
     drawn = slots.withColumn(
-        "shard", F.expr(f"pmod(xxhash64({mix.seed}, slot_source, number), shards)")
+        # The draw, as digits of a digest: SQL can repeat it.
+        "shard", F.conv(F.substring(_digest(
+            F.lit(mix.seed), F.col("slot_source"), F.lit("slot"), F.col("number")), 1, 8), 16, 10)
+        .cast("bigint") % F.col("shards")
     ).withColumn("draw", F.xxhash64(F.lit(mix.seed + 1), "slot_source", "number"))
     chosen = drawn.join(
         blocks.select("source", "block", "position"),
@@ -184,7 +187,8 @@ def spans(sizes: DataFrame, goals: DataFrame, mix: Mix) -> DataFrame:
 
 def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """How much of each document the mix takes: ``doc_id``, ``size``,
-    ``source_size``, ``target`` (of its source), ``taken``.
+    ``source_size``, ``target`` (of its source), ``taken``, and ``n_shards``, the
+    number of output shards that its words were drawn for.
 
     Each row of ``docs`` gives one row. NULL sources are one source; NULL and
     empty texts have no words, none of which are taken; rows with the same
@@ -193,7 +197,8 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     sizes = written(sized(docs, mix), "mix-sizes")
     goals = written(targets(sizes, mix), "mix-targets")
     taken = spans(sizes, goals, mix).groupBy("source", "doc_id", "size", "copy").agg(
-        F.sum(F.col("word_to") - F.col("word_from")).alias("taken"))
+        F.sum(F.col("word_to") - F.col("word_from")).alias("taken"),
+        F.size(F.collect_set("shard")).alias("n_shards"))
     alike = Window.partitionBy("source", "doc_id", "size").orderBy("text_hash")
     numbered = sizes.withColumn("copy", F.row_number().over(alike)).alias("d")
     same = " AND ".join(f"d.{c} <=> t.{c}" for c in ("source", "doc_id", "size", "copy"))
@@ -201,21 +206,24 @@ def mix_sources(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
         numbered.join(taken.alias("t"), F.expr(same), "left")
         .join(goals.alias("g"), F.expr("d.source <=> g.source"))
         .select("d.doc_id", "d.size", "g.source_size", "g.target",
-                F.coalesce("t.taken", F.lit(0)).cast("bigint").alias("taken"))
+                F.coalesce("t.taken", F.lit(0)).cast("bigint").alias("taken"),
+                F.coalesce("t.n_shards", F.lit(0)).cast("bigint").alias("n_shards"))
     )
 
 
 def mixed_texts(docs: DataFrame, mix: Mix = Mix()) -> DataFrame:
     """The mix as documents: one row per span, with the span's words as its text,
     the blanks between them kept, and ``n_chars`` of that text. The columns are
-    those of ``documents``."""
+    those of ``documents``, others are left out. NULL and empty texts have no spans; NULL
+    ids and sources stay NULL. Rows equal in source, id and text but for ``lang`` all carry
+    the least, NULL before others."""
     sizes = written(sized(docs, mix), "mix-sizes")
     goals = written(targets(sizes, mix), "mix-targets")
     cuts = spans(sizes, goals, mix).groupBy("source", "doc_id", "text_hash").agg(
         F.collect_list(F.struct("word_from", "word_to")).alias("cuts")).alias("c")
     # Rows that are equal in source, id and text share one row with all their spans.
     whole = docs.groupBy("source", "doc_id", F.xxhash64("text").alias("text_hash")).agg(
-        F.first(F.struct("text", "lang")).alias("doc")).alias("d")
+        F.min(F.struct("text", "lang")).alias("doc")).alias("d")
     same = " AND ".join(f"d.{c} <=> c.{c}" for c in ("source", "doc_id", "text_hash"))
     worded = whole.join(cuts, F.expr(same)).select(
         "d.doc_id", "d.source", "d.doc.lang", "c.cuts",

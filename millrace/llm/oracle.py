@@ -59,16 +59,22 @@ run AS (
          - least({_LENGTH}, source_size - block * {_LENGTH}) AS before
   FROM blocks),
 slots AS (
-  SELECT source, block, least(block_size, words - pass * source_size - before) AS take
+  SELECT source, block, least(block_size, words - pass * source_size - before) AS take,
+         CAST('0x' || substr(md5('{_MIX.seed}:' || coalesce(source, '-') || ':slot:'
+           || (pass * ((source_size + {_LENGTH - 1}) // {_LENGTH}) + position)), 1, 8) AS BIGINT) % (
+           SELECT CAST(ceil(sum(round(target)) / {_LENGTH * _MIX.shard_slots}) AS BIGINT)
+           FROM goals WHERE source_size > 0) AS shard
   FROM run, unnest(range(0, {_MIX.most_passes} + 1)) AS p(pass)
   WHERE words - pass * source_size - before > 0),
 taken AS (
   SELECT row, sum(greatest(0, least(start + size, block * {_LENGTH} + take)
-                              - greatest(start, block * {_LENGTH}))) AS taken
+                              - greatest(start, block * {_LENGTH}))) AS taken,
+         count(DISTINCT shard) AS n_shards
   FROM placed JOIN slots ON placed.source IS NOT DISTINCT FROM slots.source
     AND start < block * {_LENGTH} + take AND start + size > block * {_LENGTH}
   GROUP BY row)
-SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken
+SELECT doc_id, size, source_size, target, CAST(coalesce(taken, 0) AS BIGINT) AS taken,
+       CAST(coalesce(n_shards, 0) AS BIGINT) AS n_shards
 FROM (SELECT *, row_number() OVER () AS row FROM sized) d
 JOIN goals ON d.source IS NOT DISTINCT FROM goals.source
 LEFT JOIN taken ON d.row = taken.row

@@ -4,7 +4,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from millrace.llm import quality_classifier, secret_scan, trees
+from millrace.llm import ann, minhash, mixing, quality_classifier, secret_scan, trees
 from millrace.llm.common import bounded_sample
 
 BODY = "\n".join(["MIIEpAIBAAKCAQEA7Xw9q0aV3kq2mZ4uYt5cR8sN1bD6fH0jL"] * 3 + ["Qx7aP2=="])
@@ -109,3 +109,42 @@ def test_bounded_sample(spark):
     assert 800 <= drawn.count() <= 1_000
     assert drawn.collect() == bounded_sample(rows.repartition(9), 1_000, "id", "x").collect()
     assert bounded_sample(rows.where("false"), 10, "id").count() == 0
+
+
+def test_words_of_two_letters_are_told_apart():
+    bits = [bin(i).count("1") % 2 for i in range(4096)]
+    one, other = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    assert minhash.shingles(one, 3)[0] != minhash.shingles(other, 3)[0]
+    # A word has one hash wherever it stands.
+    whole = minhash.shingles(f"x y z {one}", 1)
+    assert set(minhash.shingles(one, 1)) < set(whole) and len(whole) == 4
+
+
+def test_one_of_each_keeps_the_same_row(spark):
+    rows = [(1, "b " * 9, "en"), (1, "a " * 9, "fr"), (1, "a " * 9, "de"), (2, "c d e", "en")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    for parts in (1, 3):
+        got = minhash.one_of_each(docs.repartition(parts, "lang"))
+        assert sorted(got.collect()) == [(1, "a " * 9, "de"), (2, "c d e", "en")]
+
+
+def test_mixed_texts_on_odd_rows(odd_docs, no_docs):
+    got = mixing.mixed_texts(odd_docs).collect()
+    again = mixing.mixed_texts(odd_docs.repartition(5)).collect()
+    assert sorted(map(str, got)) == sorted(map(str, again))
+    whole = {(r.doc_id, r.source): r.text for r in odd_docs.collect() if r.text and r.doc_id != 8}
+    for r in got:
+        assert r.n_chars == len(r.text)
+        if r.doc_id not in (8, None):
+            assert r.text in whole[r.doc_id, r.source]
+    taken = sum(r.taken for r in mixing.mix_sources(odd_docs).collect())
+    assert sum(len(r.text.split()) for r in got if r.doc_id != 9) <= taken
+    assert mixing.mixed_texts(no_docs).count() == 0
+
+
+def test_a_repeated_query_asks_with_its_least_vector(spark):
+    rows = [(0, [1.0, 0.0]), (0, [0.0, 1.0]), (1, [0.0, 2.0]), (2, [3.0, 0.0])]
+    for order in (rows, rows[::-1]):
+        vectors = spark.createDataFrame(order, "vec_id long, embedding array<double>")
+        got = sorted(ann.nearest(vectors).collect())
+        assert [(r.query_id, r.vec_id, r.score) for r in got] == [(0, 1, 2.0), (0, 2, 0.0)]
