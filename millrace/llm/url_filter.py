@@ -4,6 +4,10 @@ Entries are strings, sorted by their 64-bit xxhash. The keys lie in one file
 of little-endian integers that each worker maps into memory, so that workers
 of a machine share its pages; a batch of probes is one vectorised binary
 search, and a hit counts only if the stored string is equal.
+
+A list may also be a table. Up to a bound in bytes it becomes one such array on every
+machine. Beyond it the list is cut into parts by a hash of the host; only the distinct
+domains of the pages travel to their part and are searched there.
 """
 
 from __future__ import annotations
@@ -13,11 +17,13 @@ import hashlib
 import os
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark import SparkFiles
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
-from millrace.llm.common import per_batch
+from millrace.llm.common import per_batch, written
 
 SCHEMA = "page_id bigint, url string, host string, path string, rule string, verdict string"
 
@@ -33,14 +39,23 @@ RULES = (
 LISTED_SITES = ("ads-track", "adult-x", "casino-win", "cheap-pills", "free-bets", "spam-farm")
 LISTED_HOSTS = tuple(f"{site}.example.{top}" for site in LISTED_SITES
                      for top in ("com", "net", "org"))
-_TO_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_TO_LOWER = str.maketrans(_UPPER, _LOWER)
 
 
 class DigestArray:
     """A fixed set of strings that is searched by vectorised binary search."""
 
-    def __init__(self, packed: bytes):
-        """``packed``: number of strings, sorted keys, ends of strings, then the strings."""
+    def __init__(self, packed: bytes, mapped: bool = True):
+        """``packed``: number of strings, sorted keys, ends of strings, then the strings.
+        An array that one task alone searches need not be ``mapped``."""
+        size = int(np.frombuffer(packed, "<u8", 1)[0])
+        body = 8 + 16 * size
+        if not mapped:
+            self.keys = np.frombuffer(packed, "<u8", size, 8)
+            self.ends = np.frombuffer(packed, "<u8", size, 8 + 8 * size)
+            self.strings = np.frombuffer(packed, np.uint8, offset=body)
+            return
         name = f"digests-{hashlib.sha256(packed).hexdigest()[:24]}"
         path = os.path.join(SparkFiles.getRootDirectory(), name)
         if not os.path.exists(path):
@@ -48,10 +63,8 @@ class DigestArray:
             with open(part, "wb") as file:
                 file.write(packed)
             os.replace(part, path)
-        size = int(np.frombuffer(packed, "<u8", 1)[0])
         self.keys = np.memmap(path, "<u8", "r", 8, (size,)) if size else np.empty(0, "<u8")
         self.ends = np.memmap(path, "<u8", "r", 8 + 8 * size, (size,)) if size else self.keys
-        body = 8 + 16 * size
         self.strings = (np.memmap(path, np.uint8, "r", body) if len(packed) > body
                         else np.empty(0, np.uint8))
 
@@ -147,16 +160,38 @@ def judge_for(rules: bytes, hosts: bytes, verdicts: tuple, lengths: tuple, label
 def judge_urls(
     pages: DataFrame,
     rules: tuple[tuple[str, str, str], ...] = RULES,
-    hosts: tuple[str, ...] = LISTED_HOSTS,
+    hosts: tuple[str, ...] | DataFrame = LISTED_HOSTS,
     max_bytes: int = 256 * 2**20,
+    array_bytes: int = 32 * 2**20,
 ) -> DataFrame:
     """Host, path, rule and verdict of each page's url.
 
     The longest fitting rule decides. Without a rule, a host that is listed, or
     lies below a listed one, is blocked and any other allowed. A NULL url and
     one without ``://`` have empty host and path, fit no rule and are allowed.
-    Each row gives one row. The lists go to every machine; ``max_bytes`` bounds them.
+    Each row gives one row; ``page_id`` may be NULL and may repeat.
+
+    ``hosts`` are strings, or a table with a column ``host`` of which A-Z are lower-cased,
+    NULL and empty ones left out, and repeated ones count once. Strings go to every
+    machine, ``max_bytes`` bounds them. A table does so up to ``array_bytes``; a larger
+    one is searched in parts of about that size, with the same result.
     """
+    if isinstance(hosts, tuple):
+        return _judged(pages, rules, hosts, max_bytes)
+    listed = written(
+        hosts.select(F.translate("host", _UPPER, _LOWER).alias("domain"))
+        .where("domain <> ''").distinct(), "url-list")
+    size = listed.agg(
+        F.coalesce(F.sum(F.octet_length("domain") + 16), F.lit(0)).alias("bytes"),
+        F.coalesce(F.max(F.size(F.split("domain", r"\."))), F.lit(1)).alias("labels")).first()
+    if size["bytes"] <= array_bytes:
+        found = listed.toArrow().column("domain").to_pylist()
+        return _judged(pages, rules, tuple(found), max_bytes)
+    return _judged_in_parts(pages, rules, listed, size["bytes"], size["labels"],
+                            max_bytes, array_bytes)
+
+
+def _judged(pages: DataFrame, rules: tuple, hosts: tuple[str, ...], max_bytes: int) -> DataFrame:
     verdicts = tuple((f"{host}{path}", verdict) for host, path, verdict in rules)
     context = pages.sparkSession.sparkContext
     rule_file = context.broadcast(DigestArray.pack([r for r, _ in verdicts], max_bytes))
@@ -174,3 +209,42 @@ def judge_urls(
         return step
 
     return per_batch(pages.select("page_id", "url"), SCHEMA, make)
+
+
+def _judged_in_parts(pages: DataFrame, rules: tuple, listed: DataFrame, list_bytes: int,
+                     labels: int, max_bytes: int, array_bytes: int) -> DataFrame:
+    """As :func:`judge_urls` with a list that no machine has to hold whole.
+
+    A host is probed once however many pages it has, and a domain once however many
+    hosts lie below it.
+    """
+    judged = written(_judged(pages, rules, (), max_bytes), "url-judged")
+    hosts = judged.where("rule IS NULL AND host <> ''").select("host").distinct()
+    probes = written(
+        hosts.select("host", F.explode(_domains("host", labels)).alias("domain")), "url-probes")
+    domains = probes.select("domain").distinct()
+    asked = domains.agg(F.sum(F.octet_length("domain") + 16)).first()[0] or 0
+    parts = -(-max(list_bytes, asked) // array_bytes)
+    part = F.pmod(F.xxhash64("domain"), F.lit(parts)).alias("part")
+
+    def search(held: pa.Table, asking: pa.Table) -> pa.Table:
+        array = DigestArray(DigestArray.pack(held.column("domain").to_pylist(), 2**62), False)
+        names = asking.column("domain").to_pylist()
+        return asking.select(["domain"]).filter(pa.array(array.contains(names), pa.bool_()))
+
+    hits = listed.select("domain", part).groupBy("part").cogroup(
+        domains.select("domain", part).groupBy("part")).applyInArrow(search, "domain string")
+    blocked = probes.join(hits, "domain").select("host").distinct().withColumn(
+        "_listed", F.lit(True))
+    return judged.join(blocked, "host", "left").select(
+        "page_id", "url", "host", "path", "rule",
+        F.when(F.col("rule").isNull() & F.col("_listed"), "block")
+        .otherwise(F.col("verdict")).alias("verdict"))
+
+
+def _domains(host: str, most_labels: int) -> Column:
+    """As :func:`_suffixes`, as a column."""
+    labels = F.split(host, r"\.")
+    return F.transform(
+        F.sequence(F.lit(1), F.least(F.size(labels), F.lit(most_labels))),
+        lambda n: F.array_join(F.slice(labels, -n, n), "."))

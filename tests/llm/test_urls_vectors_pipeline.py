@@ -60,6 +60,43 @@ def test_digest_array_confirms_strings(spark, monkeypatch):
         url_filter.DigestArray.pack(["long entry"], max_bytes=10)
 
 
+def test_listed_hosts_from_a_table_whole_and_in_parts(spark):
+    """A million entries: one array, and parts of it, against a join in SQL."""
+    hosts = spark.range(1_000_000).select(
+        F.concat(F.lit("Host"), F.col("id"), F.lit(".Listed."),
+                 F.element_at(F.array(*map(F.lit, ("com", "net", "co.uk"))),
+                              (F.col("id") % 3 + 1).cast("int"))).alias("host"))
+    hosts = hosts.union(hosts.limit(5)).union(spark.createDataFrame(
+        [(None,), ("",), ("deep.a.b.c.d.e.test",)], "host string"))
+    urls = [f"http://{sub}host{i}.listed.{top}/p{i}"
+            for i in (0, 1, 2, 5, 999_999, 1_000_000, -1) for top in ("com", "net", "co.uk")
+            for sub in ("", "www.", "x")]
+    urls += [*URLS, "http://q.deep.a.b.c.d.e.test", "http://a.b.c.d.e.test", "http://test"]
+    # One host holds a third of the pages.
+    urls += ["http://www.host3.listed.com/same"] * (len(urls) // 2)
+    pages = spark.createDataFrame(
+        [(None if i == 4 else i, u) for i, u in enumerate(urls)], "page_id long, url string")
+    listed = {f"host{i}.listed.{('com', 'net', 'co.uk')[i % 3]}" for i in range(1_000_000)}
+    listed.add("deep.a.b.c.d.e.test")
+
+    def verdict(url):
+        host, path, rule, found = judged_by_hand(url)
+        if rule is None:
+            labels = host.split(".")
+            found = "block" if any(
+                ".".join(labels[i:]) in listed for i in range(len(labels))) else "allow"
+        return host, path, rule, found
+
+    wanted = sorted(map(str, ((None if i == 4 else i, u, *verdict(u)) for i, u in enumerate(urls))))
+    for array_bytes in (64 * 2**20, 3 * 2**20):
+        got = url_filter.judge_urls(pages, hosts=hosts, array_bytes=array_bytes)
+        assert sorted(str(tuple(r)) for r in got.collect()) == wanted
+    none = url_filter.judge_urls(pages, hosts=hosts.where("false")).where("rule IS NULL")
+    assert {r.verdict for r in none.collect()} == {"allow"}
+    in_parts = url_filter.judge_urls(pages.where("false"), hosts=hosts, array_bytes=2**20)
+    assert in_parts.count() == 0
+
+
 # --- vectors ---------------------------------------------------------------------------
 
 def brute_force(rows, every, k):
