@@ -21,7 +21,7 @@ from millrace.operators.latest import latest_per_key, newest_first
 from millrace.operators.numbering import numbered
 from millrace.operators.parse import decode_envelope, parse_events, with_event_times
 from millrace.plans import analytics, audit, dashboard, gold, refresh, views
-from millrace.schema import QC_FLAGS
+from millrace.schema import QC_FLAGS, STATES
 from millrace.session import prepare, scratch_dir
 from millrace.sources import catalog, changelog
 from millrace.sources.envelope import append_envelope_batch, file_stream, to_messages
@@ -403,8 +403,7 @@ def small_files_compacted(spark, sf):
 def table_files(spark, sf):
     """Files of each partition of a stored layer, by their metadata."""
     path = scratch_dir(spark, "files")
-    given.checked_events(spark, sf).repartition(1).write.partitionBy(
-        "customer_state").parquet(path)
+    layout.write_one_file_each(given.checked_events(spark, sf), path, "customer_state", STATES)
     layer = read_layer(spark, path)
     return layer.groupBy("customer_state").agg(
         F.countDistinct("_metadata.file_path").alias("files"), F.count("*").alias("records"))

@@ -43,6 +43,24 @@ def rewrite(df: DataFrame, path: str, partition: str, **layout) -> None:
     writer.parquet(path, compression=COMPRESSION)
 
 
+def write_one_file_each(
+    df: DataFrame, path: str, partition: str, values: Sequence[str], mode: str = "errorifexists"
+) -> None:
+    """Write ``df`` with one file in each partition's folder.
+
+    Each of ``values`` is a task of its own, and one more takes what is none of them. A task
+    keeps its files open side by side, so it need not sort its rows by the partition.
+    """
+    spark, tasks, writers = df.sparkSession, len(values) + 1, "spark.sql.maxConcurrentOutputFileWriters"
+    place = F.coalesce(F.array_position(F.array(*map(F.lit, values)), F.col(partition)), F.lit(0))
+    before = spark.conf.get(writers)
+    spark.conf.set(writers, tasks)
+    try:
+        df.repartitionById(tasks, place.cast("int")).write.mode(mode).partitionBy(partition).parquet(path)
+    finally:
+        spark.conf.set(writers, before)
+
+
 def partitions_of_small_files(
     table: DataFrame, partition: Sequence[str], small: int = SMALL_FILE_BYTES
 ) -> DataFrame:
