@@ -384,10 +384,11 @@ def small_files_compacted(spark, sf):
     rewritten, and no row changes."""
     path, states = scratch_dir(spark, "files"), given.checked_events(spark, sf)
     many = F.col("customer_state") >= "M"
-    states.where(~many).repartition(1).write.partitionBy("customer_state").parquet(path)
+    layout.write_one_file_each(states.where(~many), path, "customer_state", STATES)
     for rest in range(3):
-        states.where(many & (F.pmod("product_id", F.lit(3)) == rest)).repartition(1).write.mode(
-            "append").partitionBy("customer_state").parquet(path)
+        layout.write_one_file_each(
+            states.where(many & (F.pmod("product_id", F.lit(3)) == rest)), path, "customer_state",
+            STATES, "append")
     before = read_layer(spark, path).select(F.col("_metadata.file_path").alias("file")).distinct()
     before = spark.createDataFrame(before.collect(), before.schema)
     layout.compact(spark, path, ["customer_state"])
