@@ -33,3 +33,13 @@ def test_each_state_is_written_by_its_own_task(spark, tmp_path, monkeypatch):
     assert {r.files for r in queries.REGISTRY["table_files"](spark, SMALL).collect()} == {1}
     tasks = tasks_by_state(spark, str(tmp_path / "files"))
     assert len({task for (task,) in tasks.values()}) == len(tasks) > 20
+
+
+def test_texts_of_messages_are_not_dealt_out(spark, tmp_path):
+    """An arrival lies in as many files as a batch of the stream takes, and no exchange moves text."""
+    messages = queries._messages(spark, SMALL, 6).where("shuffled_batch_id <= 3")
+    text = messages._jdf.queryExecution().executedPlan().toString()
+    above, below = text.split("RoundRobinPartitioning(6)")
+    assert "json" in above.lower() and "json" not in below.lower()
+    queries._stage(spark, SMALL, str(tmp_path / "wire"), (0,))
+    assert len(list((tmp_path / "wire").glob("part-*"))) == queries._batch_files(spark, SMALL)
