@@ -13,6 +13,7 @@ tokens fill; what is left over fills sequences of powers of two, which need no p
 from __future__ import annotations
 
 import heapq
+import json
 import os
 import re
 import zlib
@@ -90,14 +91,53 @@ def chunks_of(text: str) -> list[str]:
     return low.split(" ")
 
 
+#: Chunks of letters that are one word to the tokenizer: it composes, lower-cases and splits them as they are.
+_LETTERS = re.compile(r"[a-zÀ-ÖØ-öø-ÿ]+")
+
+
+def _byte_signs() -> dict[int, str]:
+    """The tokenizer's signs for the bytes of each letter beyond ASCII, lower-cased."""
+    letters = [c for c in map(chr, range(0xC0, 0x100)) if c not in "×÷"]
+    # Signs of bytes: themselves where they print, else the next from U+0100 on.
+    printed = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+    others = [b for b in range(256) if b not in printed]
+    signs = {**{b: chr(b) for b in printed}, **{b: chr(256 + i) for i, b in enumerate(others)}}
+    return {ord(c): "".join(signs[b] for b in c.lower().encode()) for c in letters}
+
+
+def word_model(tokenizer: str):
+    """The word model alone, for words in byte signs; None if the tokenizer prepares words otherwise
+    than by composing, lower-casing, splitting at other than letters and byte signs."""
+    from tokenizers import Tokenizer
+
+    spec = json.loads(tokenizer)
+    normal, split = spec["normalizer"] or {}, spec["pre_tokenizer"] or {}
+    if (
+        [n.get("type") for n in normal.get("normalizers", [])] != ["NFC", "Replace", "Lowercase"]
+        or normal["normalizers"][1]["pattern"] != {"Regex": "\\s+"}
+        or [p.get("type") for p in split.get("pretokenizers", [])] != ["Split", "ByteLevel"]
+        or split["pretokenizers"][0]["pattern"] != {
+            "Regex": r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"}
+        or split["pretokenizers"][1]["add_prefix_space"] or split["pretokenizers"][1]["use_regex"]
+        or spec["post_processor"] or spec["truncation"] or spec["padding"]
+        or any(not t["special"] or not t["content"].startswith("<|") for t in spec["added_tokens"])
+    ):
+        return None
+    return Tokenizer.from_str(json.dumps(
+        {**spec, "normalizer": None, "pre_tokenizer": None, "added_tokens": []}))
+
+
 class WordIds:
-    """Ids of texts by a tokenizer; those of short chunks are remembered."""
+    """Ids of texts by a tokenizer; those of short chunks are remembered. Chunks of letters go to the
+    tokenizer's word model at once, which spares the steps that leave them as they are."""
 
     def __init__(self, path: str, remembered: int):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
+        self.words = word_model(self.tokenizer.to_str())
+        self.signs = _byte_signs()
         self.known: dict[str, bytes] = {}
         self.remembered = remembered
 
@@ -107,16 +147,24 @@ class WordIds:
             self.known = {}
         known = self.known
         split = [chunks_of(text) for text in whole]
-        fresh = list(set().union(*split) - known.keys())
-        for chunk, found in zip(fresh, self.tokenizer.encode_batch_fast(
-                fresh, add_special_tokens=False)):
-            known[chunk] = array("I", found.ids).tobytes()
+        fresh = set().union(*split) - known.keys()
+        letters = [c for c in fresh if _LETTERS.fullmatch(c)] if self.words else []
+        self._learn(self.words, letters, [
+            c if c.isascii() else c.translate(self.signs) for c in letters])
+        others = list(fresh.difference(letters))
+        self._learn(self.tokenizer, others, others)
         made = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
         for chunk in fresh:
             if len(chunk) > 64:
                 del known[chunk]
         return made
 
+    def _learn(self, tokenizer, chunks: list[str], written: list[str]) -> None:
+        if chunks:
+            for chunk, found in zip(chunks, tokenizer.encode_batch_fast(
+                    written, add_special_tokens=False)):
+                self.known[chunk] = array("I", found.ids).tobytes()
+
 
 def _bounded(whole: list[str], most: int = 1_000_000):
     """Runs of texts of about ``most`` characters in all."""
