@@ -15,16 +15,16 @@ from __future__ import annotations
 import heapq
 import json
 import os
-import re
 import zlib
 from array import array
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import held, hold_only, texts
+from millrace.llm.common import held, hold_only
 
 
 @dataclass(frozen=True)
@@ -76,23 +76,17 @@ def assign(lengths: list[int], conf: Packing) -> list[tuple[int, int, int, int,
     return pieces
 
 
-#: A mark between a letter and a blank is a token of its own.
-_LONE_MARK = re.compile(r"(?<=[a-zÀ-ÖØ-öø-ÿ])([,.;:!?)]) ")
-
-
-def chunks_of(text: str) -> list[str]:
-    """Stretches of a text that the tokenizer treats apart. It never joins what spaces or
+def chunks_of(column: pa.Array) -> pa.ListArray:
+    """Stretches of each text that the tokenizer treats apart. It never joins what spaces or
     line ends part, and lower-cases A-Z itself; a text that may hold special tokens is left as it is."""
-    low = text.replace("\n", " ")
-    if "<|" not in low:
-        # Lower-casing bytes changes A-Z only.
-        low = low.lower() if low.isascii() else low.encode().lower().decode()
-        low = _LONE_MARK.sub(r" \1 ", low)
-    return low.split(" ")
+    low = pc.replace_substring(pc.fill_null(column, ""), "\n", " ")
+    return pc.split_pattern(
+        pc.if_else(pc.match_substring(low, "<|"), low, pc.ascii_lower(low)), " ")
 
 
-#: Chunks of letters that are one word to the tokenizer: it composes, lower-cases and splits them as they are.
-_LETTERS = re.compile(r"[a-zÀ-ÖØ-öø-ÿ]+")
+#: Chunks that begin with letters, which are one word to the tokenizer: it composes, lower-cases and splits
+#: them as they are. Marks behind them are treated apart; an apostrophe might begin a word.
+_LETTERS = r"^(?P<letters>[a-zÀ-ÖØ-öø-ÿ]+)(?P<marks>[!-&(-/:-@\[-`{-~]*)$"
 
 
 def _byte_signs() -> dict[int, str]:
@@ -141,42 +135,61 @@ class WordIds:
         self.known: dict[str, bytes] = {}
         self.remembered = remembered
 
-    def ids(self, whole: list[str]) -> list[bytes]:
+    def ids(self, column: pa.Array | list[str]) -> list[bytes]:
         """Little-endian 32-bit ids of each text."""
+        if isinstance(column, list):
+            column = pa.array(column, pa.string())
+        split = chunks_of(column)
+        coded = split.flatten().dictionary_encode()
+        row = self._of_chunks(coded.dictionary).take(coded.indices)
+        if not len(row):
+            return [b""] * len(column)
+        # The ids of all chunks lie in their order: a text's begin where its first chunk's do.
+        _, offsets, data = row.buffers()
+        at = np.frombuffer(offsets, np.int64)[split.offsets.to_numpy()].tolist()
+        whole = memoryview(data) if data else b""
+        return [bytes(whole[a:b]) for a, b in zip(at, at[1:])]
+
+    def _of_chunks(self, chunks: pa.Array) -> pa.Array:
+        """Ids of different chunks; those of letters and of the marks behind them are looked up apart."""
         if len(self.known) > self.remembered:
             self.known = {}
-        known = self.known
-        split = [chunks_of(text) for text in whole]
-        fresh = set().union(*split) - known.keys()
-        letters = [c for c in fresh if _LETTERS.fullmatch(c)] if self.words else []
-        self._learn(self.words, letters, [
-            c if c.isascii() else c.translate(self.signs) for c in letters])
-        others = list(fresh.difference(letters))
-        self._learn(self.tokenizer, others, others)
-        made = [b"".join(map(known.__getitem__, chunks)) for chunks in split]
+        if self.words is None:
+            return self._looked_up(chunks, self.tokenizer)
+        found = pc.extract_regex(chunks, _LETTERS)
+        letters, marks = pc.struct_field(found, "letters"), pc.struct_field(found, "marks")
+        words = letters.dictionary_encode()
+        rest = pc.if_else(found.is_valid(), marks, chunks).dictionary_encode()
+        word_ids = self._looked_up(words.dictionary, self.words).take(words.indices)
+        rest_ids = self._looked_up(rest.dictionary, self.tokenizer).take(rest.indices)
+        empty = pa.scalar(b"", pa.large_binary())
+        return pc.binary_join_element_wise(pc.fill_null(word_ids, empty), rest_ids, empty)
+
+    def _looked_up(self, chunks: pa.Array, tokenizer) -> pa.Array:
+        """Ids of different chunks, those that are not known by this tokenizer."""
+        chunks, known = chunks.to_numpy(zero_copy_only=False).tolist(), self.known
+        fresh = [c for c in chunks if c not in known]
+        if fresh:
+            written = fresh if tokenizer is not self.words else [
+                c if c.isascii() else c.translate(self.signs) for c in fresh]
+            known.update(zip(fresh, [array("I", found.ids).tobytes() for found in
+                             tokenizer.encode_batch_fast(written, add_special_tokens=False)]))
+        found = pa.array([known[c] for c in chunks], pa.large_binary())
         for chunk in fresh:
             if len(chunk) > 64:
                 del known[chunk]
-        return made
-
-    def _learn(self, tokenizer, chunks: list[str], written: list[str]) -> None:
-        if chunks:
-            for chunk, found in zip(chunks, tokenizer.encode_batch_fast(
-                    written, add_special_tokens=False)):
-                self.known[chunk] = array("I", found.ids).tobytes()
+        return found
 
 
-def _bounded(whole: list[str], most: int = 1_000_000):
-    """Runs of texts of about ``most`` characters in all."""
-    run, size = [], 0
-    for text in whole:
-        run.append(text)
-        size += len(text)
-        if size >= most:
-            yield run
-            run, size = [], 0
-    if run:
-        yield run
+def _bounded(column: pa.Array, most: int = 4_000_000):
+    """Runs of texts of about ``most`` bytes in all."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+    start = 0
+    while start < len(column):
+        before = ends[start - 1] if start else 0
+        stop = min(int(np.searchsorted(ends, before + most)) + 1, len(column))
+        yield column.slice(start, stop - start)
+        start = stop
 
 
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
@@ -227,7 +240,7 @@ def pack(docs: DataFrame, tokenizer: str, conf: Packing = Packing(),
         window, tokens = [], 0
         for batch in batches:
             ids_of_docs = batch.column("doc_id").to_pylist()
-            made = (ids for part in _bounded(texts(batch)) for ids in coder.ids(part))
+            made = (ids for part in _bounded(batch.column("text")) for ids in coder.ids(part))
             for doc_id, ids in zip(ids_of_docs, made):
                 window.append((doc_id, ids + end))
                 tokens += len(ids) // 4 + 1

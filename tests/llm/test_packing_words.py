@@ -4,6 +4,7 @@ import json
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 from tokenizers import Tokenizer
 
 from millrace.llm.packing import WordIds, word_model
@@ -28,3 +29,13 @@ def test_another_preparation_has_no_word_model():
     spec["normalizer"]["normalizers"][0]["type"] = "NFD"
     assert word_model(json.dumps(spec)) is None
     assert word_model(json.dumps({**spec, "normalizer": None})) is None
+
+
+def test_marks_behind_letters_are_looked_up_apart():
+    whole = Tokenizer.from_file(PATH)
+    texts = ["thing$$$ other!! thing, Thing$$$ éa*** it's a'b, x.y end;", "", None, "no<|endoftext|>w$$$ W,", "a  !! \n,b\tc."]
+    coder = WordIds(PATH, 1000)
+    got = [np.frombuffer(ids, "<u4").tolist() for ids in coder.ids(pa.array(["skipped", *texts]).slice(1))]
+    assert got == [e.ids for e in whole.encode_batch([t or "" for t in texts], add_special_tokens=False)]
+    assert {"thing", "$$$", "it's"} <= coder.known.keys()
+    assert not {"skipped", "thing$$$", "other!!", "éa***"} & coder.known.keys()
