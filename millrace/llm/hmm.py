@@ -13,15 +13,15 @@ from __future__ import annotations
 
 import math
 import zlib
-from collections import Counter
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from millrace.llm.common import crc_remainder, per_batch, texts, written
+from millrace.llm.common import crc_remainder, per_batch, slices, written
 
 #: The end of a text. No word is empty.
 END = b""
@@ -47,8 +47,15 @@ class HmmConf:
     profile: int = 128
 
 
-def words_of(text: str) -> list[bytes]:
-    return text.encode().lower().split()
+def words_of(column: pa.Array) -> tuple[pa.DictionaryArray, np.ndarray]:
+    """The words of all texts in their order, and how many each text has."""
+    low = pc.ascii_lower(pc.fill_null(column, ""))
+    split = pc.ascii_split_whitespace(low)
+    # Blanks at either end leave an empty word there.
+    words, ends = split.flatten().cast(pa.binary()), split.offsets.to_numpy()
+    full = pc.greater(pc.binary_length(words), 0)
+    before = np.concatenate(([0], np.cumsum(full.to_numpy(zero_copy_only=False), dtype=np.int64)))
+    return words.filter(full).dictionary_encode(), np.diff(before[ends])
 
 
 def shape(word: bytes, conf: HmmConf) -> int:
@@ -70,30 +77,19 @@ class Corpus:
 
 def count_words(docs: DataFrame) -> DataFrame:
     """``word``, ``n`` over the training texts, ends included."""
-    most = 400_000
-
     def run(batches):
-        seen: Counter = Counter()
         for batch in batches:
-            for text, held in zip(texts(batch), batch.column("held_out").to_pylist()):
-                if not held:
-                    seen.update(words_of(text))
-                    seen[END] += 1
-            if len(seen) > most:
-                yield _counted(seen)
-                seen = Counter()
-        yield _counted(seen)
-
-    counted = docs.select("text", "held_out").mapInArrow(run, "word binary, n bigint")
+            for part in slices(batch, 32_000_000):
+                words, _ = words_of(part.column("text"))
+                n = np.bincount(words.indices.to_numpy(), minlength=len(words.dictionary))
+                yield pa.RecordBatch.from_arrays(
+                    [pa.concat_arrays([words.dictionary, pa.array([END], pa.binary())]),
+                     pa.array(np.append(n, part.num_rows), pa.int64())], names=["word", "n"])
+
+    counted = docs.where("NOT held_out").select("text").mapInArrow(run, "word binary, n bigint")
     return counted.groupBy("word").agg(F.sum("n").alias("n"))
 
 
-def _counted(seen: Counter) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [pa.array(list(seen.keys()), pa.binary()), pa.array(list(seen.values()), pa.int64())],
-        names=["word", "n"])
-
-
 def corpus_of(counts: DataFrame, conf: HmmConf) -> Corpus:
     """What the tasks need of the counts. Bounded by ``frequent`` and ``shapes``."""
     total = counts.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
@@ -132,25 +128,31 @@ def frequent_words(counts: DataFrame, most: int) -> list:
     return sorted(rows, key=lambda r: (len(r["word"]) > 0, -r["n"], bytes(r["word"])))
 
 
-class _Coder(dict):
-    """Class of each word; those of rare words are remembered up to a bound."""
+def _from_zero(ends: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], ends)).astype(np.int32)
+
+
+class _Coder:
+    """Classes of different words."""
 
     def __init__(self, corpus: Corpus, conf: HmmConf):
-        super().__init__(corpus.frequent)
-        self.first, self.conf, self.bound = len(corpus.frequent), conf, 300_000
-        self.kept = corpus.frequent
+        self.frequent = pa.array(list(corpus.frequent), pa.binary())
+        self.conf, self.shapes = conf, {}
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > self.first + self.bound:
-            self.clear()
-            self.update(self.kept)
-        code = self[word] = self.first + shape(word, self.conf)
-        return code
+    def classes(self, words: pa.Array) -> np.ndarray:
+        known = pc.index_in(words, value_set=self.frequent)
+        classes = pc.fill_null(known, -1).to_numpy(zero_copy_only=False).astype(np.int32)
+        # The last three bytes make the shape: few differ.
+        last = pc.binary_slice(words.filter(known.is_null()), -3).dictionary_encode()
+        shapes = [shape(end, self.conf) for end in last.dictionary.to_pylist()]
+        classes[classes < 0] = len(self.frequent) + np.array(shapes, np.int32)[last.indices.to_numpy()]
+        return classes
 
 
 def encode(docs: DataFrame, corpus: Corpus, conf: HmmConf) -> DataFrame:
     """Per document: a row number, its classes (int32, end included) and its rare words."""
     held = docs.sparkSession.sparkContext.broadcast(corpus)
+    of_rare = [pa.field("word", pa.binary()), pa.field("times", pa.int64())]
 
     def run(batches):
         from pyspark import TaskContext
@@ -159,24 +161,33 @@ def encode(docs: DataFrame, corpus: Corpus, conf: HmmConf) -> DataFrame:
         coder, first = _Coder(known, conf), len(known.frequent)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
-            made = {"row": [], "n_tokens": [], "codes": [], "rare": []}
-            for text in texts(batch):
-                words = words_of(text)
-                words.append(END)
-                codes = np.fromiter(map(coder.__getitem__, words), np.int32, len(words))
-                rare = Counter(words[i] for i in np.flatnonzero(codes >= first).tolist())
-                made["row"].append(row)
-                made["n_tokens"].append(len(words))
-                made["codes"].append(codes.tobytes())
-                made["rare"].append([{"word": w, "times": n} for w, n in rare.items()])
-                row += 1
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("held_out"),
-                 pa.array(made["row"], pa.int64()), pa.array(made["n_tokens"], pa.int64()),
-                 pa.array(made["codes"], pa.binary()),
-                 pa.array(made["rare"], pa.list_(pa.struct(
-                     [("word", pa.binary()), ("times", pa.int64())])))],
-                names=["doc_id", "held_out", "row", "n_tokens", "codes", "rare"])
+            for part in slices(batch, 4_000_000):
+                words, n_words = words_of(part.column("text"))
+                indices, different = words.indices.to_numpy(), len(words.dictionary)
+                classes, n_docs = coder.classes(words.dictionary), part.num_rows
+                text_of = np.repeat(np.arange(n_docs), n_words)
+                codes = np.zeros(len(indices) + n_docs, np.int32)
+                ends = np.cumsum(n_words + 1)
+                # The end goes behind the words of each text.
+                codes[np.arange(len(indices)) + text_of] = classes[indices]
+                codes[ends - 1] = known.frequent.get(END, first + shape(END, conf))
+                scarce = np.flatnonzero(classes[indices] >= first)
+                rare, times = np.unique(
+                    text_of[scarce] * different + indices[scarce], return_counts=True)
+                of_text, rare = np.divmod(rare, max(different, 1))
+                rare_ends = np.searchsorted(of_text, np.arange(n_docs), "right")
+                counted = pa.StructArray.from_arrays(
+                    [words.dictionary.take(pa.array(rare)), pa.array(times, pa.int64())],
+                    fields=of_rare)
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("doc_id"), part.column("held_out"),
+                     pa.array(row + np.arange(n_docs), pa.int64()),
+                     pa.array(n_words + 1, pa.int64()),
+                     pa.Array.from_buffers(pa.binary(), n_docs, [
+                         None, pa.py_buffer(_from_zero(4 * ends)), pa.py_buffer(codes)]),
+                     pa.ListArray.from_arrays(pa.array(_from_zero(rare_ends)), counted)],
+                    names=["doc_id", "held_out", "row", "n_tokens", "codes", "rare"])
+                row += n_docs
 
     return docs.select("doc_id", "held_out", "text").mapInArrow(
         run, "doc_id bigint, held_out boolean, row bigint, n_tokens bigint, codes binary, "
@@ -225,7 +236,7 @@ def forward(
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
     """Emissions and scaled forward variables (states x positions), scales by position, and the
     natural log likelihood of each document, in packed order. Works in the model's precision."""
-    emits = np.ascontiguousarray(model.emits.T)[:, packed.codes]
+    emits = np.take(model.emits.T, packed.codes, axis=1)
     alpha, scale = np.empty_like(emits), np.empty(emits.shape[1], emits.dtype)
     into = np.ascontiguousarray(model.moves.T)
     at, before = packed.at.tolist(), 0
@@ -264,7 +275,7 @@ def expect(model: Hmm, packed: _TimeMajor, into: Expected) -> None:
     # The position before each one: documents keep their column from step to step.
     earlier = np.arange(first, len(packed.codes)) - np.repeat(
         packed.active[:-1], packed.active[1:])
-    into.moves += model.moves * (alpha[:, earlier] @ ahead[:, first:].T)
+    into.moves += model.moves * (np.take(alpha, earlier, axis=1) @ ahead[:, first:].T)
     back *= alpha
     into.start += back[:, :first].sum(1)
     for k, share in enumerate(back):
@@ -317,7 +328,9 @@ def _directions(profiles: np.ndarray) -> np.ndarray:
 def kind_of(codes: np.ndarray, mean: np.ndarray, most: int) -> int:
     """The frequent word that a document has more of than the corpus by the most
     information; -1 if it has none. The end (class 0) marks nothing."""
-    own, n = np.unique(codes[(codes > 0) & (codes < most)], return_counts=True)
+    n = np.bincount(codes[(codes > 0) & (codes < most)])
+    own = np.flatnonzero(n)
+    n = n[own]
     gain = n * np.log(n / (len(codes) * mean[own]))
     return int(own[np.argmax(gain)]) if len(own) and gain.max() > 0 else -1
 
@@ -382,18 +395,19 @@ def _summed(encoded: DataFrame, add, conf: HmmConf, classes: int) -> Expected:
 
     parts = encoded.where("NOT held_out").select("codes").mapInArrow(
         run, "key bigint, " + ", ".join(f"s{j} double" for j in range(k)))
-    summed = parts.groupBy("key").agg(*(F.sum(f"s{j}").alias(f"s{j}") for j in range(k))).collect()
+    summed = parts.groupBy("key").agg(
+        *(F.sum(f"s{j}").alias(f"s{j}") for j in range(k))).toArrow()
     found = _nothing(conf, classes)
-    for row in summed:
-        key, values = row[0], np.array(row[1:])
-        if key >= 0:
-            found.emits[key] = values
-        elif key == -1:
-            found.start = values
+    keys = summed.column("key").to_numpy()
+    values = np.column_stack([summed.column(f"s{j}").to_numpy() for j in range(k)])
+    found.emits[keys[keys >= 0]] = values[keys >= 0]
+    for key, row in zip(keys[keys < 0].tolist(), values[keys < 0]):
+        if key == -1:
+            found.start = row
         elif key == -2 - k:
-            found.likelihood = float(values[0])
+            found.likelihood = float(row[0])
         else:
-            found.moves[-2 - key] = values
+            found.moves[-2 - key] = row
     return found
 
 

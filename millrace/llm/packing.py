@@ -24,7 +24,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from millrace.llm.common import held, hold_only
+from millrace.llm.common import held, hold_only, slices
 
 
 @dataclass(frozen=True)
@@ -181,17 +181,6 @@ class WordIds:
         return found
 
 
-def _bounded(column: pa.Array, most: int = 4_000_000):
-    """Runs of texts of about ``most`` bytes in all."""
-    ends = np.cumsum(pc.fill_null(pc.binary_length(column), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
-    start = 0
-    while start < len(column):
-        before = ends[start - 1] if start else 0
-        stop = min(int(np.searchsorted(ends, before + most)) + 1, len(column))
-        yield column.slice(start, stop - start)
-        start = stop
-
-
 SCHEMA = ("doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
           "sequence_id bigint, offset bigint, sequence_tokens bigint")
 
@@ -240,7 +229,7 @@ def pack(docs: DataFrame, tokenizer: str, conf: Packing = Packing(),
         window, tokens = [], 0
         for batch in batches:
             ids_of_docs = batch.column("doc_id").to_pylist()
-            made = (ids for part in _bounded(batch.column("text")) for ids in coder.ids(part))
+            made = (ids for part in slices(batch, 4_000_000) for ids in coder.ids(part.column("text")))
             for doc_id, ids in zip(ids_of_docs, made):
                 window.append((doc_id, ids + end))
                 tokens += len(ids) // 4 + 1
