@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from millrace.operators.sizes import estimated_bytes
 from millrace.schema import COMPRESSION
+from millrace.session import shuffles_dropped
 
 TARGET_FILE_BYTES = 128 * 1024 * 1024
 SMALL_FILE_BYTES = 64 * 1024 * 1024
@@ -40,7 +41,8 @@ def clustered(
 def rewrite(df: DataFrame, path: str, partition: str, **layout) -> None:
     """Write ``df`` clustered. ``path`` must not be a folder ``df`` reads from."""
     writer = clustered(df, partition, **layout).write.mode("overwrite").partitionBy(partition)
-    writer.parquet(path, compression=COMPRESSION)
+    with shuffles_dropped(df.sparkSession):
+        writer.parquet(path, compression=COMPRESSION)
 
 
 def write_one_file_each(

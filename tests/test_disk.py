@@ -6,9 +6,10 @@ from pyspark.sql import functions as F
 
 from millrace.checks import inputs as given
 from millrace.checks import queries
+from millrace.operators import layout
 from millrace.schema import COMPRESSION
 from millrace.sources.envelope import append_envelope_batch
-from millrace.streaming.medallion import BatchWriter, Layers
+from millrace.streaming.medallion import BatchWriter, Layers, write_layer
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -95,3 +96,26 @@ def test_items_move_without_what_is_made_of_them(spark):
         spark.conf.set(threshold, before)
     above = text.split("FileScan")[0]
     assert "delivered" in above and "l_shipdate" not in above.split("Exchange hashpartitioning(l_partkey")[0]
+
+
+def test_a_large_layer_is_put_in_place_once(spark, rows, tmp_path, monkeypatch):
+    """By the rewrite alone: the layer before it lies where its rows were made, in a file of each task."""
+    want = rows(queries.REGISTRY["layout_rewrite_preserves_rows"](spark, SMALL))
+    monkeypatch.setattr(given, "LARGE_BYTES", 0)
+    monkeypatch.setattr(queries, "scratch_dir", lambda _, label: str(tmp_path / label))
+    assert rows(queries.REGISTRY["layout_rewrite_preserves_rows"](spark, SMALL)) == want and want
+    layer = spark.read.parquet(str(tmp_path / "unclustered"))
+    files = layer.groupBy("customer_state").agg(F.countDistinct("_metadata.file_path").alias("n"))
+    assert files.agg(F.max("n")).first()[0] > 1
+
+
+def test_layers_leave_no_shuffle_files(spark, tmp_path):
+    rows = spark.range(2000).select(
+        "id", F.timestamp_seconds("id").alias("event_ts"), F.lit("SP").alias("customer_state"))
+    before = shuffle_files(spark)
+    write_layer(rows, str(tmp_path / "layer"), "customer_state")
+    layer = spark.read.parquet(str(tmp_path / "layer"))
+    size = 3 * layout.TARGET_FILE_BYTES
+    layout.rewrite(layer, str(tmp_path / "clustered"), "customer_state", ties=("id",), size_bytes=size)
+    assert not left(spark, before)
+    assert spark.read.parquet(str(tmp_path / "clustered")).count() == 2000
